@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import let
 from .times import offset_text
 
 # Fixed value: the URL name space of RFC 4122.
@@ -26,7 +27,7 @@ def uuid5_url(name: Column) -> Column:
             F.substring(h, 21, 12),
         )
 
-    return F.get(F.transform(F.array(digest), layout), F.lit(0))
+    return let(digest, layout)
 
 
 def surrogate_id(start: Column, end: Column, region_code: Column, region_name: Column) -> Column:
@@ -35,6 +36,6 @@ def surrogate_id(start: Column, end: Column, region_code: Column, region_name: C
     The region is its code unless empty, else its name; a null region is left out.
     """
     region = F.coalesce(F.nullif(region_code, F.lit("")), region_name)
-    parts = F.array(F.struct(start.alias("s"), end.alias("e"), region.alias("r")))
-    base = F.transform(parts, lambda p: F.concat_ws("|", offset_text(p.s), offset_text(p.e), p.r))
-    return F.when(start.isNotNull() & end.isNotNull(), uuid5_url(F.get(base, F.lit(0))))
+    parts = F.struct(start.alias("s"), end.alias("e"), region.alias("r"))
+    base = let(parts, lambda p: F.concat_ws("|", offset_text(p.s), offset_text(p.e), p.r))
+    return F.when(start.isNotNull() & end.isNotNull(), uuid5_url(base))

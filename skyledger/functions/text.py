@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,6 +16,15 @@ WHITESPACE = (
 )
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with `value` evaluated once.
+
+    Also keeps the body out of the generated row code: a method beyond the size the
+    JVM compiles would run interpreted, which costs far more than this detour.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     """Trim white space of every kind, not only blanks."""
     return F.btrim(c, F.lit(WHITESPACE))

@@ -10,7 +10,7 @@ from zoneinfo import available_timezones
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import strip
+from .text import let, strip
 
 _HALF_DAY = r"\s*([AaPp])\.?[Mm]\.?$"
 _MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
@@ -116,18 +116,12 @@ def parse_utc(text: Column, fallback: Column | None = None) -> Column:
 
     An explicit offset in the text wins, otherwise `fallback` (a zone column, see
     `known_zone`; default UTC) is the zone. Text without a full date is null.
-
-    Each step is a transform over a one-element array: it names the result of the
-    step before, and keeps the generated row code below the size the JVM compiles.
     """
-    fallback = F.lit("UTC") if fallback is None else fallback
-    trimmed = F.array(strip(text))
-    split = F.transform(trimmed, lambda s: F.struct(s.alias("s"), _offset(s).alias("o")))
-    parts = F.transform(split, lambda r: F.struct(_body(r.s, r.o).alias("b"), r.o.alias("o")))
-    local = F.transform(
-        parts, lambda r: F.struct(_local(r.b).alias("t"), _source_zone(r.o, fallback).alias("z"))
-    )
-    return F.get(F.transform(local, lambda r: _to_utc(r.t, r.z)), F.lit(0))
+    zone = F.lit("UTC") if fallback is None else fallback
+    split = let(strip(text), lambda s: F.struct(s.alias("s"), _offset(s).alias("o")))
+    parts = let(split, lambda r: F.struct(_body(r.s, r.o).alias("b"), r.o.alias("o")))
+    local = let(parts, lambda r: F.struct(_local(r.b).alias("t"), _source_zone(r.o, zone).alias("z")))
+    return let(local, lambda r: _to_utc(r.t, r.z))
 
 
 def whole_minutes(start: Column, end: Column) -> Column:
