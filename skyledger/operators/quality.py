@@ -281,9 +281,14 @@ class DurationOutlierCheck(Check):
 
     def __init__(self, width: float = 1.5):
         self.width = width
+        self._memo: tuple[DataFrame, Column] | None = None
 
     def _bound(self, df, side: str) -> Column:
-        return iqr_fence(df, "duration_minutes", self.width).select(side).scalar()
+        # One scalar subquery per DataFrame: both bounds, however often they are used.
+        if self._memo is None or self._memo[0] is not df:
+            fence = iqr_fence(df, "duration_minutes", self.width)
+            self._memo = (df, fence.select(F.struct("lower", "upper")).scalar())
+        return self._memo[1].getField(side)
 
     def rule(self, df):
         if "duration_minutes" not in df.columns:
