@@ -1,0 +1,15 @@
+"""Size-checked broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Mark the side for broadcast only if it is counted to be small.
+
+    The count stops at the limit. A larger side is left to a shuffle join.
+    """
+    small = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if small else df

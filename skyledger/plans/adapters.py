@@ -129,3 +129,128 @@ def region_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("value"),
         k.alias("ord"),
     )
+
+
+def line_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Canonical flights from the line items; many share an id, some also the start."""
+    text = F.lit(None).cast("string")
+    number = F.lit(None).cast("double")
+    return table(spark, sf_dir, "lineitem").select(
+        F.concat_ws("-", F.lit("L"), F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias(
+            "flight_id"
+        ),
+        text.alias("surrogate_id"),
+        F.col("l_shipdate").alias("start_time_utc"),
+        (F.col("l_shipdate") + F.make_dt_interval(F.lit(0), F.lit(1))).alias("end_time_utc"),
+        F.col("l_quantity").alias("duration_minutes"),
+        F.when(F.col("l_returnflag") != "N", F.concat(F.lit("R"), F.col("l_linenumber").cast("string"))).alias(
+            "region_code"
+        ),
+        text.alias("region_name"),
+        number.alias("latitude"),
+        number.alias("longitude"),
+        F.col("l_linestatus").alias("vehicle_category"),
+        *[text.alias(c) for c in ("operator_type", "flight_purpose", "payload_type")],
+        F.lit(False).alias("superseded"),
+        F.struct("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice").alias("_row_ord"),
+    )
+
+
+def report_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One HTML report per order: a table with head and body, markup and links in cells, and
+    a second table that does not count."""
+    key = F.col("o_orderkey").cast("string")
+    parts = [
+        F.lit('<html><head><meta name="report-tz" content="+03:00" /></head><body><p>Report '), key,
+        F.lit("</p><table class=r><thead><tr><th>x</th></tr><tr><th>Flight <b>Id</b></th><th> Start Time</th>"
+              "<th>End-Time</th><th>Region Code</th></tr></thead><tbody><tr><td>F-<i>"),
+        key, F.lit('</i></td><td><a href="/o/'), key, F.lit('">'), F.col("o_orderdate").cast("string"),
+        F.lit("</a></td><td>"), F.col("o_orderdate").cast("string"), F.lit("</td><td> "), F.col("o_orderstatus"),
+        F.lit(" &amp; "), F.col("o_orderpriority"),
+        F.lit("</td></tr><tr><td>G-"), key,
+        F.lit("</td><td>never</td></tr></tbody></table><table><tr><td>decoy</td></tr></table></body></html>"),
+    ]
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"), F.concat(*parts).alias("html"))
+
+
+def damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text lines of five damaged documents: a header, orders as table rows, document text as noise."""
+    def delimiter(n: Column) -> Column:
+        return F.when(n == 0, ";").when(n == 1, "\t").otherwise(",")
+
+    def line(n: Column, a: Column, b: Column, body: Column) -> list[Column]:
+        return [
+            F.concat(F.lit("report-"), n.cast("string")).alias("_src_path"),
+            F.struct(a.cast("long").alias("a"), b.cast("long").alias("b")).alias("_row_ord"),
+            body.alias("value"),
+        ]
+
+    regions = table(spark, sf_dir, "region")
+    r = F.col("r_regionkey")
+    headers = regions.select(
+        *line(r, F.lit(-1), F.lit(0), F.concat_ws(delimiter(r), *map(F.lit, ("Flight No", "Start", "END", "duration"))))
+    )
+    orders = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    n = key % 5
+    when = F.substring(F.col("o_orderdate").cast("string"), 1, 19)
+    row = F.concat_ws(delimiter(n), F.concat(F.lit(" F-"), key.cast("string")), when, when, (key % 90).cast("string"))
+    rows = orders.select(*line(n, key, F.lit(0), row))
+    documents = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "t"))
+    noise = documents.select(*line(F.col("doc_id") % 5, F.col("doc_id"), F.col("pos") + 1, F.col("t")))
+    return headers.unionByName(rows).unionByName(noise)
+
+
+def service_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of two cells per customer's source; three of four order keys make service rows."""
+    key = F.col("o_orderkey")
+    text = key.cast("string")
+    first = (
+        F.when(key % 4 == 0, F.concat(F.lit(" Page "), text))
+        .when(key % 4 == 1, F.concat(F.lit("Generated on "), text))
+        .when(key % 4 == 2, " ")
+        .otherwise(F.concat(F.lit("F-"), text))
+    )
+    second = F.when(key % 4 == 2, F.lit(None)).otherwise(F.col("o_orderstatus"))
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").cast("string").alias("_src_path"), key.alias("_row_ord"), F.array(first, second).alias("cells")
+    )
+
+
+def header_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Header candidates: decorated customer names, spelled aliases per order, whole documents."""
+    customers = table(spark, sf_dir, "customer").select(
+        F.lit("c").alias("kind"),
+        F.col("c_custkey").alias("id"),
+        F.concat(F.lit("  "), F.col("c_name"), F.lit(" ("), F.col("c_mktsegment"), F.lit(")\t")).alias("text"),
+    )
+    key = F.col("o_orderkey")
+    spelled = (
+        F.when(key % 6 == 0, "Flight No")
+        .when(key % 6 == 1, " DURATION (min) ")
+        .when(key % 6 == 2, "Номер полета")
+        .when(key % 6 == 3, "Region-Code")
+        .when(key % 6 == 4, "Широта")
+        .otherwise(F.concat(F.lit("Column "), F.col("o_orderpriority")))
+    )
+    orders = table(spark, sf_dir, "orders").select(F.lit("o").alias("kind"), key.alias("id"), spelled.alias("text"))
+    documents = table(spark, sf_dir, "documents").select(F.lit("d").alias("kind"), F.col("doc_id").alias("id"), "text")
+    return customers.unionByName(orders).unionByName(documents)
+
+
+def source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """File names, one per order."""
+    key = F.col("o_orderkey")
+    suffix = F.element_at(
+        F.array(*map(F.lit, (".csv", ".XLSX", ".htm", ".pdf", ".xls", ".txt", "", ".Html"))), (key % 8 + 1).cast("int")
+    )
+    path = F.concat(F.lit("s3://bucket.x/reports/"), F.col("o_orderstatus"), F.lit("/"), key.cast("string"), suffix)
+    return table(spark, sf_dir, "orders").select(path.alias("path"))
+
+
+def tagged_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The web pages, every second one with a report-tz tag put in."""
+    page = F.col("page_id")
+    tag = F.concat(F.lit('<meta content="Zone/'), page.cast("string"), F.lit('" name="report-tz">'))
+    html = F.when(page % 2 == 0, F.concat(tag, F.col("html"))).otherwise(F.col("html"))
+    return table(spark, sf_dir, "pages").select(page.alias("key"), html.alias("html"))
