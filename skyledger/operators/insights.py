@@ -16,7 +16,7 @@ MONTHS = (
 
 def region_facts(years: DataFrame, peaks: DataFrame) -> DataFrame:
     """Per region and year: flights, hours, average, changes on the year before, peak month."""
-    hours = F.round(F.col("duration_sum_min").cast("double") / 60, 2)
+    hours = F.round(F.col("duration_sum_min") / 60, 2)
     facts = year_over_year(years).join(peaks, ["region_code", "year"], "left")
     return facts.select(
         "region_code",

@@ -188,13 +188,13 @@ def damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     regions = table(spark, sf_dir, "region")
     r = F.col("r_regionkey")
     headers = regions.select(
-        *line(r, F.lit(-1), F.lit(0), F.concat_ws(delimiter(r), *map(F.lit, ("Flight No", "Start", "END", "duration"))))
+        *line(r, F.lit(-1), F.lit(0), F.call_function("concat_ws", delimiter(r), *map(F.lit, ("Flight No", "Start", "END", "duration"))))
     )
     orders = table(spark, sf_dir, "orders")
     key = F.col("o_orderkey")
     n = key % 5
     when = F.substring(F.col("o_orderdate").cast("string"), 1, 19)
-    row = F.concat_ws(delimiter(n), F.concat(F.lit(" F-"), key.cast("string")), when, when, (key % 90).cast("string"))
+    row = F.call_function("concat_ws", delimiter(n), F.concat(F.lit(" F-"), key.cast("string")), when, when, (key % 90).cast("string"))
     rows = orders.select(*line(n, key, F.lit(0), row))
     documents = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "t"))
     noise = documents.select(*line(F.col("doc_id") % 5, F.col("doc_id"), F.col("pos") + 1, F.col("t")))

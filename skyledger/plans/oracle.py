@@ -193,9 +193,9 @@ ORACLE: dict[str, str] = {
                  row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn
           FROM orders
         ), led AS (
-          SELECT *, bool_and(service) OVER (PARTITION BY source ORDER BY rn) AS leading FROM ranked
+          SELECT *, bool_and(service) OVER (PARTITION BY source ORDER BY rn) AS lead_in FROM ranked
         )
-        SELECT source, row_no FROM led WHERE NOT (leading AND rn <= 10)""",
+        SELECT source, row_no FROM led WHERE NOT (lead_in AND rn <= 10)""",
     "text_table_salvage": f"""WITH {_DAMAGED}
         SELECT source, trim(c[1]) AS flight_id, trim(c[2]) AS start_time, trim(c[3]) AS end_time,
                trim(c[4]) AS duration_minutes, true AS degraded
@@ -415,7 +415,7 @@ ORACLE: dict[str, str] = {
           SELECT region_code, year, {_MEASURES} FROM metric GROUP BY region_code, year
         ), peaks AS (
           SELECT *, row_number() OVER (PARTITION BY region_code, year ORDER BY flights_count DESC, month) AS rn FROM months)
-        SELECT a.region_code, a.year, a.flights_count, round(a.duration_sum_min / 60, 2) AS duration_total_h,
+        SELECT a.region_code, a.year, a.flights_count, CAST((CAST(round(a.duration_sum_min * 100) AS BIGINT) + 30) // 60 AS DOUBLE) / 100 AS duration_total_h,
                a.duration_avg_min, {_pct('a.flights_count', 'b.flights_count')} AS flights_count_yoy_pct,
                {_pct('a.duration_avg_min', 'b.duration_avg_min')} AS duration_avg_min_yoy_pct,
                p.month AS peak_month, p.flights_count AS peak_month_flights

@@ -14,6 +14,9 @@ from ..schema import CELLS_SCHEMA
 _TABLE_ROWS = "key STRING, tz STRING, line LONG, header ARRAY<STRING>, cells ARRAY<STRING>, links ARRAY<STRING>"
 
 
+_BATCH = 10_000
+
+
 class _FirstTable(HTMLParser):
     """Rows of the first table with the section each belongs to, and the report-tz meta."""
 
@@ -98,22 +101,20 @@ def first_table(html: str) -> tuple[str | None, bool, list[str], list[tuple[list
 
 
 def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = ("key", "tz", "line", "header", "cells", "links")
+    rows: list[tuple] = []
     for batch in batches:
         for key, html in zip(batch["key"], batch["html"]):
-            tz, seen, header, rows = first_table(html or "")
+            tz, seen, header, data = first_table(html or "")
             if not seen:
                 raise ValueError(f"no <table> in {key}")
-            n = len(rows)
-            yield pd.DataFrame(
-                {
-                    "key": [key] * n,
-                    "tz": [tz] * n,
-                    "line": range(n),
-                    "header": [header] * n,
-                    "cells": [c for c, _ in rows],
-                    "links": [l for _, l in rows],
-                }
-            )
+            for line, (cells, links) in enumerate(data):
+                rows.append((key, tz, line, header, cells, links))
+                if len(rows) == _BATCH:
+                    yield pd.DataFrame(rows, columns=names)
+                    rows = []
+    if rows:
+        yield pd.DataFrame(rows, columns=names)
 
 
 def table_rows(pages: DataFrame) -> DataFrame:
