@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import blank_to_null
 from ..schema import RAW_COLUMNS, header_name, target_of, unique_names
@@ -30,35 +33,43 @@ def _headers(spark: SparkSession, paths: list[str]) -> list[tuple[str, list[str]
     return [(r.value, r.files) for r in groups.orderBy("value").collect()]
 
 
-def _read(spark: SparkSession, paths: list[str], names: list[str] | None, enforce: bool) -> DataFrame:
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE").option("quote", '"').option("escape", '"')
-    if names is None:
-        names = reader.csv(paths[0]).columns
-    schema = ", ".join(f"`{n.replace('`', '``')}` STRING" for n in names)
-    return reader.schema(schema).option("enforceSchema", enforce).csv(paths)
+def _cells(header_line: str) -> list[str]:
+    return next(csv.reader([header_line.removeprefix("\ufeff")]), [])
+
+
+def _read(spark: SparkSession, paths: list[str], header: list[str], verify: bool) -> DataFrame:
+    """Rows of files with this header; `verify` makes Spark compare it with every file."""
+    names = header if verify else [f"c{i}" for i in range(len(header))]
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')
+    rows = reader.option("enforceSchema", not verify).schema(schema).csv(paths)
+    return _named(rows, header)
 
 
 def scan_delimited(spark: SparkSession, paths: str | list[str], mixed_headers: bool = False) -> DataFrame:
     """Rows of CSV files: all columns as text under snake_case names, plus source columns.
 
     Large files split. Without `mixed_headers` every file must have the header of the
-    first one, which Spark verifies while it reads. With it, the headers are looked up
-    first and files are read in groups of equal header. The null tokens become null.
+    first one, which Spark verifies while it reads. With it, and where a header repeats
+    a name, the headers are looked up first and files are read in groups of equal
+    header. The null tokens become null.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    if not mixed_headers:
-        return _named(_read(spark, paths, None, enforce=False))
+    first = spark.read.text(paths[0]).first()
+    if first is None:
+        raise ValueError(f"no lines in {paths[0]}")
+    header = _cells(first.value)
+    if not mixed_headers and len({h.lower() for h in header}) == len(header):
+        return _read(spark, paths, header, verify=True)
     out = None
-    for _, files in _headers(spark, paths):
-        part = _named(_read(spark, files, None, enforce=True))
+    for line, files in _headers(spark, paths):
+        part = _read(spark, files, _cells(line), verify=False)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    if out is None:
-        raise ValueError(f"no lines in {paths}")
     return out
 
 
-def _named(df: DataFrame) -> DataFrame:
-    names = unique_names([header_name(c) for c in df.columns])
+def _named(df: DataFrame, header: list[str]) -> DataFrame:
+    names = unique_names([header_name(h) for h in header])
     order = F.struct(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
@@ -77,15 +88,15 @@ def _named(df: DataFrame) -> DataFrame:
 def to_raw_columns(df: DataFrame) -> DataFrame:
     """Rename known headers to the raw columns; the first filled of several sources counts.
 
-    Unknown columns are dropped, source columns (leading underscore) kept.
+    Unknown columns and the source columns (leading underscore) follow as they are.
     """
     sources: dict[str, list[str]] = {c: [] for c in RAW_COLUMNS}
+    others = []
     for name in df.columns:
         target = None if name.startswith("_") else target_of(name)
-        if target:
-            sources[target].append(name)
+        (sources[target] if target else others).append(name)
     cols = [
         (F.coalesce(*[F.col(f"`{n}`") for n in names]) if names else F.lit(None)).cast("string").alias(target)
         for target, names in sources.items()
     ]
-    return df.select(*cols, *[c for c in df.columns if c.startswith("_")])
+    return df.select(*cols, *[F.col(f"`{n}`") for n in others])

@@ -94,7 +94,7 @@ def load_flights(spark: SparkSession, paths: str | list[str], hint: str | None =
 
 
 def _load_csv(spark: SparkSession, files: list[str]) -> DataFrame:
-    return to_raw_columns(sanitize(scan_delimited(spark, files, mixed_headers=len(files) > 1)))
+    return sanitize(to_raw_columns(scan_delimited(spark, files, mixed_headers=len(files) > 1)))
 
 
 def _load_html(spark: SparkSession, files: list[str]) -> DataFrame:
