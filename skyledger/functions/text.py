@@ -43,9 +43,10 @@ def decimal_point(c: Column) -> Column:
 def to_number(c: Column) -> Column:
     """Text to double; a decimal comma is accepted, anything not a plain number is null.
 
-    The character test keeps out what a cast would take: 45d, NaN, Infinity.
+    The character test keeps out what a cast would take: 45d, NaN, Infinity. Scans have
+    trimmed their cells, so only blanks are trimmed here.
     """
-    s = decimal_point(strip(c))
+    s = decimal_point(F.trim(c))
     return F.when(~s.rlike(r"[^0-9+\-.eE]"), s.try_cast("double"))
 
 

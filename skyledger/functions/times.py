@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .text import let, strip
 
+_STRICT = r"^\d{4}-\d\d-\d\d[T ]\d\d:\d\d:\d\d(\.\d{1,6})?(Z|[+-]\d\d:\d\d)?$"
 _HALF_DAY = r"\s*([AaPp])\.?[Mm]\.?$"
 _MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 
@@ -93,7 +94,7 @@ def _is_iso(body: Column) -> Column:
 
 
 def _local(body: Column) -> Column:
-    iso = _as_iso(body)
+    iso = _as_iso(strip(body))
     other = F.when(_is_iso(iso), iso.try_cast("timestamp_ntz") + _half_day_shift(body))
     return F.when(_is_iso(body), body.try_cast("timestamp_ntz")).otherwise(other)
 
@@ -116,9 +117,24 @@ def parse_utc(text: Column, fallback: Column | None = None) -> Column:
 
     An explicit offset in the text wins, otherwise `fallback` (a zone column, see
     `known_zone`; default UTC) is the zone. Text without a full date is null.
+
+    Strict ISO text, the usual case, takes a short way: the cast ignores the zone suffix,
+    which is applied afterwards. All other forms go through `_parse_lenient`.
     """
     zone = F.lit("UTC") if fallback is None else fallback
-    split = let(strip(text), lambda s: F.struct(s.alias("s"), _offset(s).alias("o")))
+    t = F.trim(text)
+    suffix = F.substring(t, -6, 6)
+    source = (
+        F.when(F.endswith(t, F.lit("Z")), F.lit("UTC"))
+        .when(suffix.startswith("+") | suffix.startswith("-"), suffix)
+        .otherwise(zone)
+    )
+    strict = _to_utc(t.try_cast("timestamp_ntz"), source)
+    return F.when(t.rlike(_STRICT), strict).otherwise(_parse_lenient(t, zone))
+
+
+def _parse_lenient(text: Column, zone: Column) -> Column:
+    split = let(text, lambda s: F.struct(s.alias("s"), _offset(s).alias("o")))
     parts = let(split, lambda r: F.struct(_body(r.s, r.o).alias("b"), r.o.alias("o")))
     local = let(parts, lambda r: F.struct(_local(r.b).alias("t"), _source_zone(r.o, zone).alias("z")))
     return let(local, lambda r: _to_utc(r.t, r.z))
