@@ -94,7 +94,7 @@ def _is_iso(body: Column) -> Column:
 
 
 def _local(body: Column) -> Column:
-    iso = _as_iso(strip(body))
+    iso = _as_iso(body)
     other = F.when(_is_iso(iso), iso.try_cast("timestamp_ntz") + _half_day_shift(body))
     return F.when(_is_iso(body), body.try_cast("timestamp_ntz")).otherwise(other)
 
@@ -130,11 +130,11 @@ def parse_utc(text: Column, fallback: Column | None = None) -> Column:
         .otherwise(zone)
     )
     strict = _to_utc(t.try_cast("timestamp_ntz"), source)
-    return F.when(t.rlike(_STRICT), strict).otherwise(_parse_lenient(t, zone))
+    return F.when(t.rlike(_STRICT), strict).otherwise(_parse_lenient(text, zone))
 
 
 def _parse_lenient(text: Column, zone: Column) -> Column:
-    split = let(text, lambda s: F.struct(s.alias("s"), _offset(s).alias("o")))
+    split = let(strip(text), lambda s: F.struct(s.alias("s"), _offset(s).alias("o")))
     parts = let(split, lambda r: F.struct(_body(r.s, r.o).alias("b"), r.o.alias("o")))
     local = let(parts, lambda r: F.struct(_local(r.b).alias("t"), _source_zone(r.o, zone).alias("z")))
     return let(local, lambda r: _to_utc(r.t, r.z))
