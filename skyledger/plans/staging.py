@@ -6,20 +6,30 @@ all executors, so a lost one costs a re-read, not a recomputation.
 
 from __future__ import annotations
 
+import functools
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="skyledger-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the cluster's `spark.checkpoint.dir`.
 
-    Only where that is not set (a single machine, as in tests) a local folder is used.
+    Where that is not set, a single machine takes a local folder; a cluster fails, because
+    its executors would not see each other's files.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="skyledger-")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = _local_folder()
     return f"{base.rstrip('/')}/skyledger/{name}-{uuid.uuid4().hex}"
 
 
