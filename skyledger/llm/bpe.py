@@ -30,9 +30,9 @@ from pyspark.sql import DataFrame
 from skyledger.llm import texts
 from skyledger.llm.staging import inputs
 
-#: Encoded words that one Python worker remembers; the memory starts anew when it is full.
-MEMORY_WORDS = 300_000
-#: Longer words are encoded each time they come.
+#: Encoded words that one Python worker remembers, twice: recent ones and those before.
+MEMORY_WORDS = 200_000
+#: Longer words are encoded one by one, each time they come.
 MEMORY_BYTES = 64
 
 # The published pre-split pattern of byte-level BPE.
@@ -72,6 +72,48 @@ class Vocabulary:
         return cls(labels, [(ids[a], ids[b], ids[a + b]) for a, b in pairs], special)
 
 
+class Lookup:
+    """Numbers by non-negative keys, for whole arrays of keys; -1 where there is none."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.bits = max(8, int(len(keys) * 4).bit_length())
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.values = np.full(1 << self.bits, -1, np.int32)
+        left, slot = np.arange(len(keys)), self._slot(keys)
+        while len(left):
+            free = np.flatnonzero(self.keys[slot] < 0)
+            taken = free[np.unique(slot[free], return_index=True)[1]]
+            self.keys[slot[taken]], self.values[slot[taken]] = keys[left[taken]], values[left[taken]]
+            rest = np.ones(len(left), bool)
+            rest[taken] = False
+            left, slot = left[rest], (slot[rest] + 1) & (len(self.keys) - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        spread = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (spread >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        slot = self._slot(keys)
+        found = self.keys[slot]
+        out = np.where(found == keys, self.values[slot], -1)
+        open_ = np.flatnonzero((found != keys) & (found >= 0))
+        while len(open_):
+            slot[open_] = (slot[open_] + 1) & (len(self.keys) - 1)
+            at = slot[open_]
+            found = self.keys[at]
+            hit = found == keys[open_]
+            out[open_[hit]] = self.values[at[hit]]
+            open_ = open_[~hit & (found >= 0)]
+        return out
+
+
+def _padded(rows: list[list[int]], fill: int = -1) -> np.ndarray:
+    out = np.full((len(rows), max(map(len, rows), default=0)), fill, np.int64)
+    for i, row in enumerate(rows):
+        out[i, : len(row)] = row
+    return out
+
+
 @dataclass
 class Automaton:
     vocabulary: Vocabulary
@@ -117,8 +159,81 @@ class Automaton:
             self.blocked_after.append(above if left_of[s] in above else [*above, left_of[s]])
         self._intervals(parent)
         self._make_trie()
+        self._make_tables()
         return self
 
+    def _make_tables(self) -> None:
+        """The same automaton as arrays, for many words at once."""
+        numbers = lambda items: np.fromiter(items, np.int64)
+        self.size = len(self.vocabulary.labels)
+        self.label_sizes = numbers(map(len, self.vocabulary.labels))
+        self.trie_table = Lookup(numbers(self.trie.keys()), numbers(self.trie.values()))
+        self.rank_table = Lookup(numbers(a * self.size + b for a, b in self.rank), numbers(self.rank.values()))
+        self.tokens, self.targets = np.array(self.token_at), np.array(self.target)
+        self.enters, self.leaves = np.array(self.enter), np.array(self.leave)
+        self.lefts = _padded(self.blocked_after)
+        self.parts = _padded([[t for t, _ in self.spine[i]] for i in range(self.size)])
+        self.befores = _padded([[k for _, k in self.spine[i]] for i in range(self.size)])
+
+    def passes(self, states: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+        """Whether each state has an edge for its token."""
+        ok = np.ones(len(states), bool)
+        for i in range(self.lefts.shape[1]):
+            left = self.lefts[states, i]
+            some = np.flatnonzero((left >= 0) & ok)
+            for j in range(self.parts.shape[1]):
+                part = self.parts[tokens[some], j]
+                some = some[part >= 0]
+                if not len(some):
+                    break
+                k = self.rank_table(left[some] * self.size + part[part >= 0]).astype(np.int64)
+                here = self.enters[states[some]]
+                blocked = (k >= 0) & (k <= self.befores[tokens[some], j]) & (self.enters[k + 1] <= here) & (here < self.leaves[k + 1])
+                ok[some[blocked]] = False
+                some = some[~blocked]
+        return ok
+
+    def encode_all(self, words: list[bytes]) -> list[bytes]:
+        """Ids of many words at once, as little-endian 32-bit integers."""
+        if not words:
+            return []
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        order = np.argsort(-sizes, kind="stable")
+        sizes = sizes[order]
+        width = int(sizes[0])
+        letters = np.array([words[i] for i in order], f"S{max(width, 1)}").view(np.uint8).reshape(len(words), -1)
+        last = np.full((len(words), width + 1), -1, np.int32)
+        for start in range(width):
+            alive = np.arange(np.searchsorted(-sizes, -start, side="left"))
+            state = self.targets[last[alive, start]] if start else np.zeros(len(alive), np.int64)
+            node = np.zeros(len(alive), np.int64)
+            for end in range(start, width):
+                longer = sizes[alive] > end
+                alive, node = alive[longer], node[longer]
+                node = self.trie_table(node << 8 | letters[alive, end])
+                alive, node = alive[node >= 0], node[node >= 0].astype(np.int64)
+                if not len(alive):
+                    break
+                token = self.tokens[node]
+                may = np.flatnonzero((token >= 0) & (last[alive, end + 1] < 0))
+                if start:
+                    may = may[self.passes(state[alive[may]], token[may])]
+                last[alive[may], end + 1] = token[may]
+        # Read the tokens off from the ends of the words.
+        out = np.empty((len(words), width), "<u4")
+        counts = np.zeros(len(words), np.int64)
+        at, rows = sizes.copy(), np.flatnonzero(sizes)
+        while len(rows):
+            token = last[rows, at[rows]]
+            counts[rows] += 1
+            out[rows, width - counts[rows]] = token
+            at[rows] -= self.label_sizes[token]
+            rows = rows[at[rows] > 0]
+        result = [b""] * len(words)
+        for row, i in enumerate(order.tolist()):
+            result[i] = out[row, width - counts[row] :].tobytes()
+        return result
+
     def _intervals(self, parent: list[int]) -> None:
         """Numbers that tell whether one state was copied, over any steps, from another."""
         children: list[list[int]] = [[] for _ in parent]
@@ -189,22 +304,30 @@ class Automaton:
         return out[::-1]
 
 
-class _Memory(dict):
-    """Encoded words as little-endian 32-bit ids."""
+class Memory:
+    """Encoded words by their text: a recent part and the part before it."""
 
     def __init__(self, automaton: Automaton):
-        super().__init__()
         self.automaton = automaton
-
-    def __missing__(self, word: str) -> bytes:
-        data = word.encode()
-        ids = np.array(self.automaton.encode(data), "<u4").tobytes()
-        if len(data) <= MEMORY_BYTES:
-            if len(self) >= MEMORY_WORDS:
-                self.clear()
-                self.automaton.edges.clear()
-            self[word] = ids
-        return ids
+        self.recent: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+
+    def of(self, words: set[str]) -> dict[str, bytes]:
+        """A mapping that holds all the words."""
+        recent, before = self.recent, self.before
+        if len(recent) > MEMORY_WORDS:
+            self.before = before = recent
+            self.recent = recent = {}
+        missing = words.difference(recent)
+        for word in missing.intersection(before):
+            recent[word] = before[word]
+        missing.difference_update(recent)
+        short = [w for w in missing if len(w) <= MEMORY_BYTES // 4 or len(w.encode()) <= MEMORY_BYTES]
+        recent.update(zip(short, self.automaton.encode_all([w.encode() for w in short]), strict=True))
+        long = missing.difference(short)
+        if not long:
+            return recent
+        return recent | {w: np.array(self.automaton.encode(w.encode()), "<u4").tobytes() for w in long}
 
 
 class Coder:
@@ -213,22 +336,27 @@ class Coder:
     def __init__(self, vocabulary: Vocabulary):
         self.labels = vocabulary.labels
         self.special = vocabulary.special
-        self.memory = _Memory(Automaton.build(vocabulary))
+        self.memory = Memory(Automaton.build(vocabulary))
         self.split = regex.compile(PATTERN).findall
         names = sorted(self.special, key=len, reverse=True)
         self.cut = regex.compile("|".join(map(regex.escape, names))) if names else None
 
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers; special strings become their own ids."""
-        get = self.memory.__getitem__
-        if self.cut is None or not self.cut.search(text):
-            return b"".join(map(get, self.split(text)))
+    def encode(self, text: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers; special strings become their own ids."""
+        parts = [self._parts(t) for t in text]
+        seen: set[str] = set()
+        for words, _ in chain.from_iterable(parts):
+            seen.update(words)
+        get = self.memory.of(seen).__getitem__
+        return [b"".join(chain.from_iterable((*map(get, words), after) for words, after in x)) for x in parts]
+
+    def _parts(self, text: str) -> list[tuple[list[str], bytes]]:
+        """Words between special strings, each with the id of the string that follows."""
         out, at = [], 0
-        for m in self.cut.finditer(text):
-            out += map(get, self.split(text[at : m.start()]))
-            out.append(self.special[m[0]].to_bytes(4, "little"))
+        for m in self.cut.finditer(text) if self.cut else ():
+            out.append((self.split(text[at : m.start()]), self.special[m[0]].to_bytes(4, "little")))
             at = m.end()
-        return b"".join(chain(out, map(get, self.split(text[at:]))))
+        return [*out, (self.split(text[at:] if at else text), b"")]
 
     def decode(self, ids: bytes) -> bytes:
         """The labels' bytes as UTF-8; what is no valid UTF-8 becomes U+FFFD."""
@@ -255,7 +383,7 @@ def encoded(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = coder(path, vocabulary)
         for batch in texts.chunks(batches, text_col):
-            parts = [code.encode(t or "") for t in batch.column(text_col).to_pylist()]
+            parts = code.encode([t or "" for t in batch.column(text_col).to_pylist()])
             flat = np.frombuffer(b"".join(parts), "<i4")
             bounds = np.cumsum([0, *(len(p) // 4 for p in parts)]).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat))
@@ -274,8 +402,7 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
         code = coder(path, vocabulary)
         for batch in texts.chunks(batches, "text"):
             counts, digests, decoded = [], [], []
-            for text in batch.column("text").to_pylist():
-                ids = code.encode(text or "")
+            for ids in code.encode([t or "" for t in batch.column("text").to_pylist()]):
                 counts.append(len(ids) // 4)
                 digests.append(hashlib.sha256(ids).hexdigest())
                 decoded.append(hashlib.sha256(code.decode(ids)).hexdigest())
