@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 
 from skyledger.llm import texts
 from skyledger.llm.staging import inputs
+from skyledger.llm.texts import Lookup
 
 #: Encoded words that one Python worker remembers, twice: recent ones and those before.
 MEMORY_WORDS = 200_000
@@ -72,41 +73,6 @@ class Vocabulary:
         return cls(labels, [(ids[a], ids[b], ids[a + b]) for a, b in pairs], special)
 
 
-class Lookup:
-    """Numbers by non-negative keys, for whole arrays of keys; -1 where there is none."""
-
-    def __init__(self, keys: np.ndarray, values: np.ndarray):
-        self.bits = max(8, int(len(keys) * 4).bit_length())
-        self.keys = np.full(1 << self.bits, -1, np.int64)
-        self.values = np.full(1 << self.bits, -1, np.int32)
-        left, slot = np.arange(len(keys)), self._slot(keys)
-        while len(left):
-            free = np.flatnonzero(self.keys[slot] < 0)
-            taken = free[np.unique(slot[free], return_index=True)[1]]
-            self.keys[slot[taken]], self.values[slot[taken]] = keys[left[taken]], values[left[taken]]
-            rest = np.ones(len(left), bool)
-            rest[taken] = False
-            left, slot = left[rest], (slot[rest] + 1) & (len(self.keys) - 1)
-
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        spread = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        return (spread >> np.uint64(64 - self.bits)).astype(np.int64)
-
-    def __call__(self, keys: np.ndarray) -> np.ndarray:
-        slot = self._slot(keys)
-        found = self.keys[slot]
-        out = np.where(found == keys, self.values[slot], -1)
-        open_ = np.flatnonzero((found != keys) & (found >= 0))
-        while len(open_):
-            slot[open_] = (slot[open_] + 1) & (len(self.keys) - 1)
-            at = slot[open_]
-            found = self.keys[at]
-            hit = found == keys[open_]
-            out[open_[hit]] = self.values[at[hit]]
-            open_ = open_[~hit & (found >= 0)]
-        return out
-
-
 def _padded(rows: list[list[int]], fill: int = -1) -> np.ndarray:
     out = np.full((len(rows), max(map(len, rows), default=0)), fill, np.int64)
     for i, row in enumerate(rows):
