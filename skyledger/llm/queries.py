@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.llm import bpe, secret_scan
+from skyledger.llm import bpe, decontaminate, language, neardup, secret_scan
 
 #: Folder or file of the byte-level tokenizer; the installed one where it is unset.
 TOKENIZER_VARIABLE = "SKYLEDGER_BYTE_BPE"
@@ -25,6 +25,16 @@ def byte_bpe_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    return language.report(table(spark, sf_dir, "documents"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document."""
     return secret_scan.report(table(spark, sf_dir, "documents"))
@@ -35,6 +45,11 @@ def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), byte_bpe_path())
 
 
-QUERIES = {f.__name__: f for f in (op5_secret_scan, op8_bpe_round_trip)}
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op3_decontaminate, op4_language, op5_secret_scan, op8_bpe_round_trip, op10_minhash)}
 
 ORACLE: dict[str, str] = {}
