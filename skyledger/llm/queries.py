@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from skyledger.llm import bpe, decontaminate, language, neardup, secret_scan
+from skyledger.llm import bpe, decontaminate, language, maxscore, neardup, secret_scan, urls
 
 #: Folder or file of the byte-level tokenizer; the installed one where it is unset.
 TOKENIZER_VARIABLE = "SKYLEDGER_BYTE_BPE"
@@ -25,6 +26,11 @@ def byte_bpe_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best vectors for every hundredth one."""
+    return maxscore.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -45,11 +51,28 @@ def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), byte_bpe_path())
 
 
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on the URLs of all pages."""
+    pages = table(spark, sf_dir, "pages")
+    return urls.judged(pages, urls.train(urls.labelled_sample(pages)))
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_decontaminate, op4_language, op5_secret_scan, op8_bpe_round_trip, op10_minhash)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_maxscore,
+        op3_decontaminate,
+        op4_language,
+        op5_secret_scan,
+        op8_bpe_round_trip,
+        op9_url_filter,
+        op10_minhash,
+    )
+}
 
 ORACLE: dict[str, str] = {}
