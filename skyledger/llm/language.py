@@ -185,6 +185,6 @@ def report(docs: DataFrame) -> DataFrame:
     return predict(rows, model, keep=["doc_id", "held_out"])
 
 
-def kept(docs: DataFrame, model: Model, text_col: str = "text", least: float = 0.5) -> DataFrame:
+def kept(docs: DataFrame, model: Model, text_col: str = "text", least: float = 0.3) -> DataFrame:
     """The rows whose language is known with a probability of `least` or more."""
     return predict(docs, model, text_col).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*docs.columns)

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import bpe, decontaminate, language, maxscore, neardup, secret_scan, urls
+from skyledger.llm import bpe, decontaminate, language, maxscore, neardup, quality, secret_scan, urls
 
 #: Folder or file of the byte-level tokenizer; the installed one where it is unset.
 TOKENIZER_VARIABLE = "SKYLEDGER_BYTE_BPE"
@@ -46,6 +46,11 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(table(spark, sf_dir, "documents"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document."""
+    return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids and decoded text of every document, as digests."""
     return bpe.round_trip(table(spark, sf_dir, "documents"), byte_bpe_path())
@@ -69,6 +74,7 @@ QUERIES = {
         op3_decontaminate,
         op4_language,
         op5_secret_scan,
+        op7_quality,
         op8_bpe_round_trip,
         op9_url_filter,
         op10_minhash,
