@@ -7,10 +7,11 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import bpe, decontaminate, language, maxscore, neardup, quality, secret_scan, urls
+from skyledger.llm import bpe, decontaminate, language, lattice, maxscore, neardup, quality, secret_scan, urls
 
-#: Folder or file of the byte-level tokenizer; the installed one where it is unset.
+#: Files of the byte-level tokenizer and of the pieces; the installed ones where these are unset.
 TOKENIZER_VARIABLE = "SKYLEDGER_BYTE_BPE"
+PIECES_VARIABLE = "SKYLEDGER_PIECES"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +27,20 @@ def byte_bpe_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_path() -> str:
+    path = os.environ.get(PIECES_VARIABLE)
+    if path:
+        return path
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op1_lattice_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document."""
+    return lattice.report(table(spark, sf_dir, "documents"), piece_path())
+
+
 def op2_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best vectors for every hundredth one."""
     return maxscore.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
@@ -70,6 +85,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_lattice_score,
         op2_maxscore,
         op3_decontaminate,
         op4_language,
