@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import bpe, decontaminate, language, lattice, maxscore, neardup, quality, secret_scan, urls
+from skyledger.llm import bpe, decontaminate, language, lattice, maxscore, neardup, quality, repeats, secret_scan, urls
 
 #: Files of the byte-level tokenizer and of the pieces; the installed ones where these are unset.
 TOKENIZER_VARIABLE = "SKYLEDGER_BYTE_BPE"
@@ -61,6 +61,11 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(table(spark, sf_dir, "documents"))
 
 
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that repeat long passages."""
+    return repeats.report(table(spark, sf_dir, "documents"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document."""
     return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -90,6 +95,7 @@ QUERIES = {
         op3_decontaminate,
         op4_language,
         op5_secret_scan,
+        op6_repeats,
         op7_quality,
         op8_bpe_round_trip,
         op9_url_filter,
