@@ -97,7 +97,9 @@ def components(links: DataFrame) -> DataFrame:
     is written to the shared folder. Neighbours are reduced to their minimum before they are
     shuffled, so a node with very many links is one row per task.
     """
-    edges = staged(links.where("u <> v").mapInArrow(_locally_merged, "u bigint, v bigint"), "links")
+    # First as each task finds them, then with all links of a node in one task: about one per node is left.
+    merged = links.where("u <> v").mapInArrow(_locally_merged, "u bigint, v bigint")
+    edges = staged(merged.repartition("u").mapInArrow(_locally_merged, "u bigint, v bigint"), "links")
     before = None
     while True:
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
