@@ -1,4 +1,4 @@
-"""The registered queries of this package, one per operator, and their SQL."""
+"""The registered queries of this package, one per operator; their SQL is in `oracle`."""
 
 from __future__ import annotations
 
@@ -102,5 +102,3 @@ QUERIES = {
         op10_minhash,
     )
 }
-
-ORACLE: dict[str, str] = {}
