@@ -14,7 +14,8 @@
 At a similarity of 0.75 a pair has fewer than 30 of 64 collisions with probability below 1e-5;
 all that have them are confirmed exactly.
 
-Null or empty texts have no shingles and link with nothing. Rows that repeat a doc_id count as
+Null or empty texts have no shingles and link with nothing; rows without an id neither, and
+their component is null. Rows that repeat a doc_id count as
 one document. An empty table gives no rows; other columns of the input play no part.
 """
 
@@ -201,7 +202,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     firsts = sets.select("print", F.col("id").alias("first")).join(found, "first", "left")
     named = sketch.select("id", "n_shingles", "print").join(firsts, "print", "left")
-    component = F.coalesce("component", "first", "id")
+    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "first", "id"))
     return named.select(
         F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept")
     )
