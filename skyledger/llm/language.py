@@ -24,6 +24,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType
 
 from skyledger.llm import texts
 from skyledger.llm.staging import id_hash_mod, inputs
@@ -36,22 +37,22 @@ SAMPLE_ROWS = 4000
 #: The most frequent languages that are learned.
 MAX_LANGUAGES = 100
 SMOOTHING = 0.5
+#: `kept` rejects documents whose best language is less probable; chance alone gives 1 / languages.
+LEAST = 0.3
 
 _letter = regex.compile(r"\p{L}")
 
 
 def grams(text: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of all n-grams, and the bounds of each text in them."""
-    joined = "\n".join(text).lower()
-    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-    # Lower case may change lengths, so texts are told apart by their separators after it.
-    breaks = np.fromiter((len(t.lower()) for t in text), np.int64, len(text)).cumsum() + np.arange(len(text))
+    # Each text is led by a blank, whatever stands before it in the chunk.
+    small = ["\n" + t.lower() for t in text]
+    codes = np.frombuffer("".join(small).encode("utf-32-le", "surrogatepass"), np.uint32)
+    starts = np.cumsum([0, *map(len, small)])
     letter = _is_letter(codes)
     codes = np.where(letter, codes, 32).astype(np.uint64)
     keep = letter | np.append(letter[1:], False)
-    keep[0:1] = True
-    sizes = np.concatenate([[0], np.cumsum(keep)])
-    bounds = np.concatenate([[0], sizes[np.minimum(breaks, len(codes))]])
+    bounds = np.concatenate([[0], np.cumsum(keep)])[starts]
     codes = codes[keep]
     out = np.empty((len(codes), len(ORDERS)), np.int32)
     value = np.zeros(len(codes), np.uint64)
@@ -162,18 +163,16 @@ def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
 def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns `keep` (all by default), then lang_pred and score."""
     broadcast = docs.sparkSession.sparkContext.broadcast(model)
-    kept = docs.drop("lang_pred", "score")
-    names = keep or kept.columns
-    rows = kept.select(*names, F.col(text_col).alias("_text"))
+    names = keep or [c for c in docs.columns if c not in ("lang_pred", "score")]
+    schema = docs.select(*names).schema.add("lang_pred", StringType()).add("score", DoubleType())
+    # Neutral names inside, so that columns cannot clash.
+    rows = docs.select(*(docs[c].alias(f"c{i}") for i, c in enumerate(names)), docs[text_col].alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in texts.chunks(batches, "_text"):
-            langs, scores = broadcast.value.score(batch.column("_text").to_pylist())
+        for batch in texts.chunks(batches, "text"):
+            langs, scores = broadcast.value.score(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(langs, pa.string()), pa.array(scores)], [*names, "lang_pred", "score"])
 
-    from pyspark.sql.types import DoubleType, StringType
-
-    schema = rows.drop("_text").schema.add("lang_pred", StringType()).add("score", DoubleType())
     return rows.mapInArrow(run, schema)
 
 
@@ -185,6 +184,13 @@ def report(docs: DataFrame) -> DataFrame:
     return predict(rows, model, keep=["doc_id", "held_out"])
 
 
-def kept(docs: DataFrame, model: Model, text_col: str = "text", least: float = 0.3) -> DataFrame:
-    """The rows whose language is known with a probability of `least` or more."""
-    return predict(docs, model, text_col).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*docs.columns)
+def kept(docs: DataFrame, model: Model, text_col: str = "text", least: float = LEAST) -> DataFrame:
+    """The rows, with all their columns, whose language is known with a probability of `least` or more."""
+    broadcast = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in texts.chunks(batches, text_col):
+            langs, scores = broadcast.value.score(batch.column(text_col).to_pylist())
+            yield batch.filter(pa.array((np.array(langs) != UNKNOWN) & (scores >= least)))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -211,4 +211,4 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows whose document stands for its component; rows without an id stay."""
     gone = near_duplicates(docs, id_col, text_col).where("NOT kept").select(F.col(id_col).cast("bigint").alias("_gone"))
-    return docs.join(gone, docs[id_col].cast("bigint") == F.col("_gone"), "left_anti")
+    return docs.join(gone, docs[id_col].cast("bigint") == gone["_gone"], "left_anti")

@@ -25,6 +25,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType
 
 from skyledger.llm import texts
 from skyledger.llm.language import segment_sums
@@ -242,17 +243,16 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str
     """The columns `keep` (all by default), then score and predicted."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = keep or [c for c in docs.columns if c not in ("score", "predicted")]
-    rows = docs.select(*names, F.col(text_col).alias("_text"))
+    schema = docs.select(*names).schema.add("score", DoubleType()).add("predicted", IntegerType())
+    # Neutral names inside, so that columns cannot clash.
+    rows = docs.select(*(docs[c].alias(f"c{i}") for i, c in enumerate(names)), docs[text_col].alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in texts.chunks(batches, "_text"):
-            score = shared.value.network.score(shared.value.words.pooled(texts.text_bytes(batch.column("_text"))))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(score)], [*names, "score"])
-
-    from pyspark.sql.types import DoubleType
+        for batch in texts.chunks(batches, "text"):
+            score = shared.value.network.score(shared.value.words.pooled(texts.text_bytes(batch.column("text"))))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(score), pa.array((score >= THRESHOLD).astype(np.int32))], [*names, "score", "predicted"])
 
-    out = rows.mapInArrow(run, rows.drop("_text").schema.add("score", DoubleType()))
-    return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+    return rows.mapInArrow(run, schema)
 
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
