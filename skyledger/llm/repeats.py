@@ -10,7 +10,7 @@ with their surroundings inside; the smallest hash of surroundings is the window'
 equal windows have equal keys.
 
 Keys that several places share reveal possible repeats; only windows with such keys are hashed
-whole, in 128 bits, and compared. Texts are gathered into chunks. Each distinct key or window of
+whole, in 96 bits, and compared. Texts are gathered into chunks. Each distinct key or window of
 a chunk goes once to the bucket of its hash, so a passage that very many documents share is one
 entry per chunk; the answers go back to the chunks. Chunks, windows and answers are written to
 the shared folder or shuffled, never gathered.
@@ -93,7 +93,7 @@ def windows(parts: list[bytes]) -> Windows:
     place = place[(place - RADIUS >= first[place]) & (place + RADIUS <= end[place])]
     # Large values stand for places without a key.
     value = np.full(n + SPAN + RADIUS, _LAST)
-    value[place] = _hash_of(hashes, place - RADIUS, 2 * RADIUS) >> np.uint64(1)
+    value[place] = _hash_of(hashes, place - RADIUS, 2 * RADIUS) >> np.uint64(16)
     least, reach = value, 1
     while reach < SPAN:
         step = min(reach, SPAN - reach)
@@ -138,7 +138,7 @@ def _chunked(rows: DataFrame, buckets: int) -> DataFrame:
             keys = np.unique(windows(parts).keys)
             order, present, bounds = _by_bucket(keys, buckets)
             for b, x, y in zip(present.tolist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                found.append((chunk, b, keys[order[x:y]].tobytes(), b""))
+                found.append((chunk, b, _six_bytes(keys[order[x:y]]), b""))
             yield from _rows(found)
 
     return rows.mapInArrow(run, _SCHEMA)
@@ -158,21 +158,47 @@ def _in_buckets(rows: DataFrame, answer) -> DataFrame:
     return rows.repartition("bucket").sortWithinPartitions("bucket", "chunk").mapInArrow(run, _SCHEMA)
 
 
+def _six_bytes(keys: np.ndarray) -> bytes:
+    """Keys have 48 bits; a wrong match of two costs a comparison, no more."""
+    return (keys & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes() + (keys >> np.uint64(32)).astype("<u2").tobytes()
+
+
+def _keys_of(blob: pa.Buffer) -> np.ndarray:
+    n = len(blob) // 6
+    return np.frombuffer(blob, "<u4", n).astype(np.uint64) | np.frombuffer(blob, "<u2", n, 4 * n).astype(np.uint64) << np.uint64(32)
+
+
 def _shared_keys(blobs: list[pa.Buffer]) -> list[bytes]:
     """Bits of the keys that several chunks have."""
-    sizes = [len(b) // 8 for b in blobs]
-    keys, place, times = np.unique(np.concatenate([np.frombuffer(b, np.uint64) for b in blobs]), return_inverse=True, return_counts=True)
+    sizes = [len(b) // 6 for b in blobs]
+    keys, place, times = np.unique(np.concatenate([_keys_of(b) for b in blobs]), return_inverse=True, return_counts=True)
     shared = times[place] > 1
     return [np.packbits(x).tobytes() for x in np.split(shared, np.cumsum(sizes)[:-1])]
 
 
-#: A window of a chunk: two hashes, id and place of its first occurrence there.
-_ENTRY = np.dtype([("a", "<u8"), ("b", "<u8"), ("id", "<i8"), ("at", "<i8")])
+#: A window of a chunk: 96 bits of hashes, id and place of its first occurrence there.
+_ENTRY = np.dtype([("a", "<u8"), ("b", "<u4"), ("id", "<i8"), ("at", "<u4")])
+
+
+def _packed(entries: np.ndarray) -> bytes:
+    """Entries by column, compressed."""
+    columns = b"".join(np.ascontiguousarray(entries[name]).tobytes() for name in _ENTRY.names)
+    return len(entries).to_bytes(8, "little") + pa.compress(columns, codec="zstd", asbytes=True)
+
+
+def _unpacked(blob: pa.Buffer) -> np.ndarray:
+    n = int.from_bytes(blob[:8].to_pybytes(), "little")
+    columns = pa.decompress(blob[8:], n * _ENTRY.itemsize, codec="zstd", asbytes=True)
+    out, at = np.empty(n, _ENTRY), 0
+    for name in _ENTRY.names:
+        out[name] = np.frombuffer(columns, _ENTRY[name], n, at)
+        at += n * _ENTRY[name].itemsize
+    return out
 
 
 def _later_windows(blobs: list[pa.Buffer]) -> list[bytes]:
     """Bits of the windows that another chunk has earlier."""
-    parts = [np.frombuffer(b, _ENTRY) for b in blobs]
+    parts = [_unpacked(b) for b in blobs]
     every = np.concatenate(parts)
     order = np.lexsort((every["at"], every["id"], every["b"], every["a"]))
     later = np.empty(len(every), bool)
@@ -234,7 +260,7 @@ def _candidates(chunks: DataFrame, answers: DataFrame, buckets: int) -> DataFram
             if not len(starts):
                 continue
             entry = np.empty(len(starts), _ENTRY)
-            entry["a"], entry["b"] = _hash_of(found.hashes, starts, WINDOW), _hash_of(found.hashes, starts, WINDOW, WINDOW)
+            entry["a"], entry["b"] = _hash_of(found.hashes, starts, WINDOW), _hash_of(found.hashes, starts, WINDOW, WINDOW) >> np.uint64(32)
             text = np.searchsorted(found.words.first, starts, side="right") - 1
             entry["id"], entry["at"] = own.ids[text], starts - found.words.first[text]
             by_window = np.lexsort((entry["at"], entry["id"], entry["b"], entry["a"]))
@@ -248,9 +274,13 @@ def _candidates(chunks: DataFrame, answers: DataFrame, buckets: int) -> DataFram
             place[order] = np.arange(len(order))
             # -1: removed for sure; else the number of the entry that decides.
             decides = np.where(later, -1, place[np.cumsum(new) - 1])
-            out = [(chunk, _WINDOWS, np.concatenate([starts, decides]).astype("<i4").tobytes(), np.diff(bounds).astype("<i8").tobytes())]
+            order_by_start = np.argsort(starts)
+            starts, decides = starts[order_by_start], decides[order_by_start]
+            both = np.concatenate([np.diff(starts, prepend=0), decides]).astype("<i4").tobytes()
+            head = np.concatenate([[len(starts)], np.diff(bounds)]).astype("<i8").tobytes()
+            out = [(chunk, _WINDOWS, pa.compress(both, codec="zstd", asbytes=True), head)]
             for b, x, y in zip(present.tolist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                out.append((chunk, b, firsts[order[x:y]].tobytes(), b""))
+                out.append((chunk, b, _packed(firsts[order[x:y]]), b""))
             yield from _rows(out)
 
     both = chunks.where(F.col("bucket") == _TEXTS).unionByName(answers)
@@ -261,9 +291,10 @@ def _removed(rows: list[tuple[int, bytes, bytes]], words: int) -> np.ndarray:
     """Which words of a chunk go, from its windows and the answers to them."""
     if not rows:
         return np.zeros(words, bool)
-    starts, decides = np.frombuffer(rows[0][1], "<i4").reshape(2, -1)
-    bits = np.append(_bits(rows[1:], np.frombuffer(rows[0][2], "<i8").tolist()), True)
-    gone = starts[bits[decides]].astype(np.int64)
+    n, *counts = np.frombuffer(rows[0][2], "<i8").tolist()
+    steps, decides = np.frombuffer(pa.decompress(rows[0][1], 8 * n, codec="zstd", asbytes=True), "<i4").reshape(2, n)
+    bits = np.append(_bits(rows[1:], counts), True)
+    gone = np.cumsum(steps, dtype=np.int64)[bits[decides]]
     edge = np.bincount(gone, minlength=words + 1) - np.bincount(gone + WINDOW, minlength=words + 1)
     return np.cumsum(edge)[:words] > 0
 
