@@ -47,7 +47,9 @@ def to_number(c: Column) -> Column:
     trimmed their cells, so only blanks are trimmed here.
     """
     s = decimal_point(F.trim(c))
-    return F.when(~s.rlike(r"[^0-9+\-.eE]"), s.try_cast("double"))
+    number = F.when(~s.rlike(r"[^0-9+\-.eE]"), s.try_cast("double"))
+    # 1e400 is no number either.
+    return F.when(F.abs(number) < float("inf"), number)
 
 
 def header_key(c: Column) -> Column:

@@ -17,13 +17,17 @@ _HALF_DAY = r"\s*([AaPp])\.?[Mm]\.?$"
 _MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 
 
+# Names of the zone files that stand for no zone in the JVM.
+_NOT_IN_JVM = ("Factory", "localtime")
+
+
 def known_zone(name: str) -> Column:
     """Column `name` where it holds a zone Spark can convert from, else null.
 
     An unknown zone would fail the job. The names go in as one SQL text because a
     literal per name makes the plan slow to build.
     """
-    zones = ", ".join(f"'{z}'" for z in sorted(available_timezones()) if "/" in z or z in ("UTC", "GMT"))
+    zones = ", ".join(f"'{z}'" for z in sorted(available_timezones()) if z not in _NOT_IN_JVM)
     return F.expr(f"CASE WHEN `{name}` IN ({zones}) OR `{name}` RLIKE '^[+-][0-9]{{2}}:?[0-9]{{2}}$' THEN `{name}` END")
 
 

@@ -85,8 +85,16 @@ def _change(window, unit: str, adjacent: Column, *measures: str) -> dict[str, Co
     return out
 
 
+def _whole_months(months: DataFrame) -> DataFrame:
+    """Refuses a table split by vehicle: its flights would count once per category."""
+    if "vehicle_category" in months.columns:
+        raise ValueError("months are split by vehicle; build them with by_vehicle=False")
+    return months
+
+
 def month_over_month(months: DataFrame) -> DataFrame:
     """Change against the month before, within a year; null unless that month exists."""
+    months = _whole_months(months)
     w = Window.partitionBy("region_code", "year").orderBy("month")
     adjacent = F.lag("month").over(w) == F.col("month") - 1
     return months.withColumns(_change(w, "mom", adjacent, "flights_count", "duration_sum_min"))
@@ -104,6 +112,7 @@ def year_over_year(years: DataFrame) -> DataFrame:
 def trailing_trend(months: DataFrame, width: int = 3) -> DataFrame:
     """Average flights of this and the months before it in the region, `width` rows in all,
     and the running total within the year."""
+    months = _whole_months(months)
     by_time = Window.partitionBy("region_code").orderBy("year", "month")
     in_year = Window.partitionBy("region_code", "year").orderBy("month")
     trailing = F.avg("flights_count").over(by_time.rowsBetween(1 - width, 0))
@@ -147,7 +156,7 @@ def top_share(years: DataFrame, n: int = 5) -> DataFrame:
 
 def peak_month(months: DataFrame) -> DataFrame:
     """Busiest month of each region and year; the earliest one on a tie."""
-    totals = months.groupBy("region_code", "year", "month").agg(F.sum("flights_count").alias("n"))
+    totals = _whole_months(months).groupBy("region_code", "year", "month").agg(F.sum("flights_count").alias("n"))
     best = F.max(F.struct(F.col("n"), (-F.col("month")).alias("neg")))
     return totals.groupBy("region_code", "year").agg(best.alias("best")).select(
         "region_code",
@@ -159,7 +168,7 @@ def peak_month(months: DataFrame) -> DataFrame:
 
 def seasonality(months: DataFrame) -> DataFrame:
     """Share of each month in the flights of its year, relative to an even twelfth."""
-    totals = months.groupBy("year", "month").agg(F.sum("flights_count").alias("flights_count"))
+    totals = _whole_months(months).groupBy("year", "month").agg(F.sum("flights_count").alias("flights_count"))
     share = F.col("flights_count") / F.sum("flights_count").over(Window.partitionBy("year"))
     return totals.withColumn("share", share).select(
         "year",
@@ -176,7 +185,7 @@ def reporting_hours(years: DataFrame) -> DataFrame:
     return years.withColumn("duration_sum_h", hours)
 
 
-def reconcile(years: DataFrame, flights: DataFrame, limit: int | None = 10) -> DataFrame:
+def reconcile(years: DataFrame, flights: DataFrame, limit: int | None = None) -> DataFrame:
     """Aggregates next to the number of normalised flights of the same region and year.
 
     The flights are counted before the join. A null key on either side matches nothing.
@@ -213,6 +222,17 @@ def compare_aggregates(old: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
+def _behind(table: DataFrame, order: tuple[str, ...], after: tuple) -> Column:
+    """Rows behind a key in ascending order, nulls first."""
+    behind, same = F.lit(False), F.lit(True)
+    for name, value in zip(order, after, strict=True):
+        value_column = F.lit(value).cast(table.schema[name].dataType)
+        more = F.col(name).isNotNull() if value is None else F.coalesce(F.col(name) > value_column, F.lit(False))
+        behind = behind | (same & more)
+        same = same & F.col(name).eqNullSafe(value_column)
+    return behind
+
+
 def stats_page(
     table: DataFrame,
     year: int | None = None,
@@ -223,7 +243,8 @@ def stats_page(
 ) -> DataFrame:
     """One page of an aggregate table: filtered, ordered by unique columns, after a key.
 
-    Paging by key reads each page with a top-k instead of skipping rows.
+    Paging by key reads each page with a top-k instead of skipping rows. Nulls come first,
+    in `after` as well.
     """
     rows = table
     if year is not None:
@@ -231,5 +252,5 @@ def stats_page(
     if region is not None:
         rows = rows.where(F.col("region_code") == region)
     if after is not None:
-        rows = rows.where(F.struct(*order) > F.struct(*[F.lit(v) for v in after]))
+        rows = rows.where(_behind(table, order, after))
     return rows.orderBy(*order).limit(size)

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions.text import decimal_point, header_target, strip
 from ..schema import RAW_COLUMNS, RAW_NUMERIC, SERVICE_ROW_PREFIXES
-from .sizes import broadcast_if_small
 
 
 def trim_strings(df: DataFrame) -> DataFrame:
@@ -48,7 +47,7 @@ def drop_service_rows(df: DataFrame, cells: Column, limit: int = 10) -> DataFram
     lead = Window.partitionBy("_src_path").orderBy("_rank")
     leading = first.withColumn("_all_service", F.min(F.col("_service").cast("int")).over(lead))
     dropped = leading.where("_all_service = 1").select("_src_path", "_row_ord")
-    return df.join(broadcast_if_small(dropped), ["_src_path", "_row_ord"], "left_anti")
+    return df.join(dropped, ["_src_path", "_row_ord"], "left_anti")
 
 
 def raw_cells(df: DataFrame) -> Column:
@@ -60,16 +59,17 @@ def raw_from_cells(df: DataFrame) -> DataFrame:
     """Raw columns of rows in the cell shape.
 
     The header decides where each target column is; a short row gives null, of repeated
-    headers the first filled one counts.
+    headers the first filled one counts. A scan may bring the targets of its headers along
+    in `_targets`.
     """
     targets = F.transform("header", header_target)
-    placed = df.withColumn("_targets", targets)
+    placed = df if "_targets" in df.columns else df.withColumn("_targets", targets)
 
     def cell(target: str) -> Column:
         at = F.transform("_targets", lambda t, i: F.when(t == target, F.get("cells", i)))
         return F.get(F.filter(at, lambda v: F.coalesce(strip(v), F.lit("")) != ""), F.lit(0))
 
-    sources = [c for c in df.columns if c.startswith("_")]
+    sources = [c for c in df.columns if c.startswith("_") and c != "_targets"]
     return placed.select(*[strip(cell(t)).alias(t) for t in RAW_COLUMNS], *sources)
 
 

@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import covers, crossings_odd
 
-# A broadcast side may hold this many edges (32 bytes each, so about 64 MB).
-MAX_BROADCAST_EDGES = 2_000_000
-
 
 def region_cells(regions: DataFrame, degrees: float = 1.0) -> DataFrame:
     """One row per grid cell that a region may touch, with its candidate regions.
@@ -22,24 +19,17 @@ def region_cells(regions: DataFrame, degrees: float = 1.0) -> DataFrame:
     def index(c: Column) -> Column:
         return F.floor(c / step).cast("int")
 
-    spread = regions.select(
-        "code", "centroid_x", "centroid_y", "edges",
-        F.explode(F.sequence(index(F.col("min_x")), index(F.col("max_x")))).alias("cell_x"),
-        "min_y", "max_y",
-    ).withColumn("cell_y", F.explode(F.sequence(index(F.col("min_y")), index(F.col("max_y")))))
     west, south = F.col("cell_x") * step, F.col("cell_y") * step
     east, north = west + step, south + step
 
-    def in_band(e: Column) -> Column:
-        return (
-            (F.greatest(e["y1"], e["y2"]) >= south)
-            & (F.least(e["y1"], e["y2"]) <= north)
-            & (F.greatest(e["x1"], e["x2"]) >= west)
-        )
+    def in_row(e: Column) -> Column:
+        return (F.greatest(e["y1"], e["y2"]) >= south) & (F.least(e["y1"], e["y2"]) <= north)
 
-    band = spread.select(
-        "*", F.filter("edges", in_band).alias("near"),
-    )
+    # Edges are dealt to rows of cells first; a cell then gets those of its row only.
+    rows = regions.withColumn("cell_y", F.explode(F.sequence(index(F.col("min_y")), index(F.col("max_y")))))
+    rows = rows.withColumn("edges", F.filter("edges", in_row)).where(F.size("edges") > 0)
+    spread = rows.withColumn("cell_x", F.explode(F.sequence(index(F.col("min_x")), index(F.col("max_x")))))
+    band = spread.withColumn("near", F.filter("edges", lambda e: F.greatest(e["x1"], e["x2"]) >= west))
     touched = F.exists("near", lambda e: F.least(e["x1"], e["x2"]) <= east)
     centre_in = crossings_odd(F.col("near"), west + step / 2, south + step / 2)
     no_edges = F.slice(F.col("near"), 1, 0)
@@ -54,13 +44,6 @@ def region_cells(regions: DataFrame, degrees: float = 1.0) -> DataFrame:
     return judged.groupBy("cell_x", "cell_y").agg(F.collect_list(candidate).alias("candidates"))
 
 
-def _small(cells: DataFrame, limit: int) -> bool:
-    """One number: the edges and candidates in the cell table, against the limit."""
-    weight = F.aggregate("candidates", F.lit(0), lambda acc, c: acc + F.size(c["edges"]) + 4)
-    total = cells.agg(F.coalesce(F.sum(weight), F.lit(0)).alias("n")).first().n
-    return total <= limit
-
-
 def geocodable(lon: str = "longitude", lat: str = "latitude") -> Column:
     """Both coordinates are there and not (0, 0)."""
     x, y = F.col(lon), F.col(lat)
@@ -68,15 +51,15 @@ def geocodable(lon: str = "longitude", lat: str = "latitude") -> Column:
 
 
 def assign_regions(
-    flights: DataFrame, cells: DataFrame, degrees: float = 1.0, max_broadcast_edges: int = MAX_BROADCAST_EDGES
+    flights: DataFrame, cells: DataFrame, degrees: float = 1.0
 ) -> DataFrame:
     """Add geo_region: the region that covers the start point; null if none or not geocodable.
 
     Of several regions (a point on a border) the one with the nearest centroid is
     taken, then the smaller code. `geo_matches` counts them.
 
-    A flight meets one cell row, so nothing is grouped or ranked afterwards. The cells
-    are broadcast while they are few; beyond that the join shuffles on the cell, flights
+    A flight meets one cell row, so nothing is grouped or ranked afterwards. AQE broadcasts
+    the cells while they are small; beyond that the join shuffles on the cell, flights
     without a usable point spread over cells that do not exist, and AQE splits a busy cell.
     """
     x, y = F.col("longitude"), F.col("latitude")
@@ -87,14 +70,14 @@ def assign_regions(
             "cell_y": F.when(geocodable(), F.floor(y / degrees)).otherwise(nowhere).cast("int"),
         }
     )
-    side = F.broadcast(cells) if _small(cells, max_broadcast_edges) else cells
-    joined = keyed.join(side, ["cell_x", "cell_y"], "left")
+    joined = keyed.join(cells, ["cell_x", "cell_y"], "left")
     hits = F.filter("candidates", lambda c: c["inside"] | covers(c["edges"], x, y))
     matched = joined.withColumn("_hits", hits)
 
     def distance(c: Column) -> Column:
-        # Rounded, so that equal distances compare equal.
-        return F.round((c["centroid_x"] - x) * (c["centroid_x"] - x) + (c["centroid_y"] - y) * (c["centroid_y"] - y), 6)
+        # Seven digits, whatever the size of the region, so that equal distances compare equal.
+        d = (c["centroid_x"] - x) * (c["centroid_x"] - x) + (c["centroid_y"] - y) * (c["centroid_y"] - y)
+        return d.cast("float")
 
     nearest = F.array_min(
         F.transform("_hits", lambda c: F.struct(distance(c).alias("d"), c["code"].alias("code")))
@@ -132,15 +115,20 @@ def with_region_names(flights: DataFrame, regions: DataFrame, key: str = "region
     return flights.join(names, key, "left")
 
 
-def audit_locations(geo: DataFrame, regions: DataFrame) -> DataFrame:
+def audit_locations(geo: DataFrame, cells: DataFrame, degrees: float = 1.0) -> DataFrame:
     """Stored locations that their stored region really covers, per region and in all.
 
-    Joined on the region, edges included; a table of flights is never on both sides.
+    Joined on the grid cell as the assignment is, so a busy region is many cells; a location
+    outside all cells of its region counts as not covered. `cells` are `region_cells`.
     """
-    shape = regions.select(F.col("code").alias("region_code"), "edges")
-    ok = covers(F.col("edges"), F.col("location_x"), F.col("location_y"))
-    return geo.join(shape, "region_code").groupBy("region_code").agg(
-        F.count("*").alias("stored"), F.count_if(ok).alias("intersected")
+    x, y = F.col("location_x"), F.col("location_y")
+    keyed = geo.where("region_code IS NOT NULL").withColumns(
+        {"cell_x": F.floor(x / degrees).cast("int"), "cell_y": F.floor(y / degrees).cast("int")}
+    )
+    own = F.filter("candidates", lambda c: c["code"] == F.col("region_code"))
+    ok = F.exists(own, lambda c: c["inside"] | covers(c["edges"], x, y))
+    return keyed.join(cells, ["cell_x", "cell_y"], "left").groupBy("region_code").agg(
+        F.count("*").alias("stored"), F.count_if(F.coalesce(ok, F.lit(False))).alias("intersected")
     )
 
 

@@ -17,7 +17,10 @@ MONTHS = (
 def region_facts(years: DataFrame, peaks: DataFrame) -> DataFrame:
     """Per region and year: flights, hours, average, changes on the year before, peak month."""
     hours = F.round(F.col("duration_sum_min") / 60, 2)
-    facts = year_over_year(years).join(peaks, ["region_code", "year"], "left")
+    best = peaks.withColumnsRenamed({"region_code": "_region", "year": "_year"})
+    # A null region is a group of its own.
+    same = F.col("region_code").eqNullSafe(F.col("_region")) & (F.col("year") == F.col("_year"))
+    facts = year_over_year(years).join(best, same, "left")
     return facts.select(
         "region_code",
         "year",

@@ -136,7 +136,12 @@ def flag_superseded(df: DataFrame) -> DataFrame:
 
 def normalize(df: DataFrame, tz_hint: str | None = None, default_tz: str = "UTC") -> DataFrame:
     """Canonical flights (superseded rows kept and flagged) plus `_row_ord`."""
-    return canonical(flag_superseded(type_rows(df, tz_hint, default_tz).where(is_valid())))
+    return normalize_typed(type_rows(df, tz_hint, default_tz))
+
+
+def normalize_typed(typed: DataFrame) -> DataFrame:
+    """`normalize` behind `type_rows`; reads its input twice, so large inputs are written first."""
+    return canonical(flag_superseded(typed.where(is_valid())))
 
 
 def canonical(df: DataFrame) -> DataFrame:
@@ -213,6 +218,18 @@ def infer_year(flights: DataFrame) -> int | None:
     return years[0] if years else None
 
 
+def metric_exclusions(flights: DataFrame, low: float = 0.0, high: float = 1440.0) -> DataFrame:
+    """Flights that the metrics leave out because of their duration, with the reason."""
+    d = F.col("duration_minutes")
+    reason = (
+        F.when(d.isNull(), "no duration")
+        .when(d <= low, "duration not above the lower bound")
+        .when(d > high, "duration above the upper bound")
+    )
+    out = flights.where(~F.col("superseded")).withColumn("reason", reason).where("reason IS NOT NULL")
+    return out.select("flight_id", "start_time_utc", "region_code", "duration_minutes", "reason")
+
+
 def metric_rows(
     flights: DataFrame, year: int | None = None, low: float = 0.0, high: float = 1440.0
 ) -> DataFrame:

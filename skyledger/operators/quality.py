@@ -89,12 +89,12 @@ class SchemaCheck(Check):
         status = F.when(F.lit(bool(missing)) | (nulls > 0), F.lit(FAIL)).otherwise(WARN if extra else OK)
         messages = F.array_compact(
             F.array(
-                F.lit("missing required columns" if missing else None),
-                F.lit("found unexpected columns" if extra else None),
-                F.when(nulls > 0, F.lit("null values detected in required columns")),
+                F.lit("required columns are absent" if missing else None),
+                F.lit("there are columns beyond the record" if extra else None),
+                F.when(nulls > 0, F.lit("required columns hold nulls")),
             )
         )
-        summary = F.when(F.size(messages) == 0, F.lit("schema matches canonical definition")).otherwise(
+        summary = F.when(F.size(messages) == 0, F.lit("the columns are those of the record")).otherwise(
             F.array_join(messages, "; ")
         )
         parts = []
@@ -129,7 +129,7 @@ class DurationRangeCheck(Check):
 
     def outcome(self, df):
         if self.rule(df) is None:
-            return _fixed(self.name, FAIL, "duration_minutes column missing")
+            return _fixed(self.name, FAIL, "there is no column duration_minutes")
         bad = self._m("bad")
         details = F.to_json(
             F.struct(
@@ -141,8 +141,8 @@ class DurationRangeCheck(Check):
         return _outcome(
             self.name,
             F.when(bad > 0, FAIL).otherwise(OK),
-            F.when(bad > 0, F.format_string("found %d durations outside range", bad)).otherwise(
-                "all durations within expected range"
+            F.when(bad > 0, F.format_string("%d durations are out of range", bad)).otherwise(
+                "every duration is in range"
             ),
             bad,
             details,
@@ -166,13 +166,13 @@ class CoordinateRangeCheck(Check):
 
     def outcome(self, df):
         if self.rule(df) is None:
-            return _fixed(self.name, WARN, "latitude/longitude columns not available")
+            return _fixed(self.name, WARN, "there are no coordinates")
         bad = self._m("bad")
         return _outcome(
             self.name,
             F.when(bad > 0, FAIL).otherwise(OK),
-            F.when(bad > 0, F.format_string("found %d coordinates outside geographic bounds", bad)).otherwise(
-                "coordinates fall within expected bounds"
+            F.when(bad > 0, F.format_string("%d coordinates are off the globe", bad)).otherwise(
+                "every coordinate is on the globe"
             ),
             bad,
             F.when(bad > 0, F.to_json(F.struct(bad.alias("invalid_count")))),
@@ -207,13 +207,13 @@ class UniquenessCheck(Check):
     def outcome(self, df):
         missing = self._missing(df)
         if missing:
-            return _fixed(self.name, FAIL, f"missing key columns: {', '.join(missing)}")
+            return _fixed(self.name, FAIL, f"key columns are absent: {', '.join(missing)}")
         bad = self._repeated(df).agg(F.coalesce(F.sum("_copies"), F.lit(0))).scalar()
         return _outcome(
             self.name,
             F.when(bad > 0, FAIL).otherwise(OK),
-            F.when(bad > 0, F.format_string("found %d duplicate key rows", bad)).otherwise(
-                "primary key combination is unique"
+            F.when(bad > 0, F.format_string("%d rows share their key", bad)).otherwise(
+                "no two rows share a key"
             ),
             bad,
             F.when(bad > 0, F.to_json(F.struct(bad.alias("duplicate_count")))),
@@ -238,7 +238,7 @@ class MonthlyCompletenessCheck(Check):
 
     def outcome(self, df):
         if self.rule(df) is None:
-            return _fixed(self.name, FAIL, "start_time_utc column missing")
+            return _fixed(self.name, FAIL, "there is no column start_time_utc")
         bad, months = self._m("bad"), self._m("months")
         years = F.array_distinct(F.transform(months, lambda m: F.floor(m / 12)))
 
@@ -265,9 +265,9 @@ class MonthlyCompletenessCheck(Check):
         return _outcome(
             self.name,
             F.when(bad > 0, FAIL).when(some_gap, WARN).otherwise(OK),
-            F.when(bad > 0, "invalid datetimes in start_time_utc")
-            .when(some_gap, "missing intermediate months detected")
-            .otherwise("months are contiguous within each year"),
+            F.when(bad > 0, "start times are unknown")
+            .when(some_gap, "months without flights lie between others")
+            .otherwise("no year has a gap between its months"),
             F.when(bad > 0, bad).otherwise(gap_count),
             details,
         )
@@ -304,16 +304,16 @@ class DurationOutlierCheck(Check):
 
     def outcome(self, df):
         if "duration_minutes" not in df.columns:
-            return _fixed(self.name, FAIL, "duration_minutes column missing")
+            return _fixed(self.name, FAIL, "there is no column duration_minutes")
         bad, empty = self._m("bad"), self._m("values") == 0
         thresholds = F.struct(self._bound(df, "lower").alias("lower"), self._bound(df, "upper").alias("upper"))
         details = F.to_json(F.struct(thresholds.alias("thresholds"), bad.alias("outlier_count")))
         return _outcome(
             self.name,
             F.when(empty, WARN).when(bad > 0, WARN).otherwise(OK),
-            F.when(empty, "no duration values available for outlier detection")
-            .when(bad > 0, F.format_string("detected %d potential duration outliers", bad))
-            .otherwise("no duration outliers detected"),
+            F.when(empty, "there is no duration to compare")
+            .when(bad > 0, F.format_string("%d durations are outside the fence", bad))
+            .otherwise("every duration is inside the fence"),
             bad,
             F.when(~empty, details),
         )
@@ -367,11 +367,13 @@ def violations(df: DataFrame, checks: Sequence[Check] | None = None) -> DataFram
 
 
 def _input_order(df: DataFrame) -> list[str]:
-    return ["_row_ord"] if "_row_ord" in df.columns else ["start_time_utc", "flight_id"]
+    first = ["_row_ord"] if "_row_ord" in df.columns else ["start_time_utc", "flight_id"]
+    # All other columns make the order total.
+    return first + [c for c in CANONICAL if c in df.columns and c not in first]
 
 
 def sample_rows(found: DataFrame, limit: int = 5) -> DataFrame:
-    """Per check the first `limit` violating rows in input order, as JSON, and whom they concern."""
+    """Per check the first `limit` violating rows in input order, as JSON."""
     w = Window.partitionBy("check_name").orderBy(*_input_order(found))
     first = found.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= limit)
     shown = [
@@ -384,40 +386,54 @@ def sample_rows(found: DataFrame, limit: int = 5) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("_rank", F.struct(*shown).alias("row")))), lambda r: r.row
     )
 
-    def impacted(c: str) -> Column:
-        return F.array_sort(F.collect_set(F.when(F.col(c) != "", F.col(c))))
+    return first.groupBy("check_name").agg(F.to_json(rows).alias("sample_rows"))
 
-    return first.groupBy("check_name").agg(
-        F.to_json(rows).alias("sample_rows"),
-        impacted("region_code").alias("impacted_regions"),
-        impacted("flight_id").alias("impacted_records"),
+
+def impacted(found: DataFrame) -> DataFrame:
+    """Per check the regions of all its violating rows and how many flights they are.
+
+    Regions are few, as the directory is; the flights themselves are in `flight_issues`.
+    """
+    per_region = found.groupBy("check_name", "region_code").agg(F.lit(1).alias("_one"))
+    regions = per_region.groupBy("check_name").agg(
+        F.array_sort(F.collect_set(F.when(F.col("region_code") != "", F.col("region_code")))).alias("impacted_regions")
     )
+    flights = F.count_distinct(F.when(F.col("flight_id") != "", F.col("flight_id")))
+    return regions.join(found.groupBy("check_name").agg(flights.alias("impacted_records")), "check_name")
 
 
 def quality_report(df: DataFrame, checks: Sequence[Check] | None = None, limit: int = 5) -> DataFrame:
-    """check_results with sample rows and the regions and flights these concern."""
-    results = check_results(df, checks)
-    samples = sample_rows(violations(df, checks), limit)
+    """check_results with sample rows, and the regions and number of flights that violate each."""
+    checks = default_checks() if checks is None else list(checks)
+    return report_of(check_results(df, checks), violations(df, checks), limit)
+
+
+def report_of(results: DataFrame, found: DataFrame, limit: int = 5) -> DataFrame:
+    """The report from stored results and violations."""
     none = F.array().cast("array<string>")
-    # One row per check on both sides.
-    return results.join(samples, "check_name", "left").select(
+    # One row per check on all sides.
+    return results.join(sample_rows(found, limit), "check_name", "left").join(impacted(found), "check_name", "left").select(
         *_OUTCOME,
         "sample_rows",
         F.coalesce("impacted_regions", none).alias("impacted_regions"),
-        F.coalesce("impacted_records", none).alias("impacted_records"),
+        F.coalesce("impacted_records", F.lit(0)).alias("impacted_records"),
     )
 
 
 def flight_issues(df: DataFrame, checks: Sequence[Check] | None = None) -> DataFrame:
     """One row per flight and check it violates, from all violating rows."""
     checks = default_checks() if checks is None else list(checks)
+    return issues_of(check_results(df, checks), violations(df, checks))
+
+
+def issues_of(results: DataFrame, found: DataFrame) -> DataFrame:
+    """The issues from stored results and violations."""
     found = (
-        violations(df, checks)
-        .where(F.coalesce(F.col("flight_id"), F.lit("")) != "")
+        found.where(F.coalesce(F.col("flight_id"), F.lit("")) != "")
         .groupBy(F.col("flight_id").alias("flight_uid"), "check_name")
         .agg(F.count("*").alias("rows"))
     )
-    results = check_results(df, checks).select(
+    results = results.select(
         "check_name",
         F.col("status").alias("severity"),
         F.to_json(F.struct("summary", "details")).alias("details"),
@@ -499,6 +515,35 @@ def source_review(cells: DataFrame, files: DataFrame | None = None, width: int =
     return found.select("path", rows.alias("rows"), "width", degraded.alias("degraded"), status.alias("status"))
 
 
+def loaded_review(raw: DataFrame, files: DataFrame) -> DataFrame:
+    """Per file of a load: rows, and FAIL if it is degraded or gave none. `files` has a column `path`."""
+    found = raw.groupBy(F.col("_src_path").alias("path")).agg(
+        F.count("*").alias("rows"), F.bool_or(F.coalesce("_src_degraded", F.lit(False))).alias("degraded")
+    )
+    rows, degraded = F.coalesce("rows", F.lit(0)), F.coalesce("degraded", F.lit(False))
+    status = F.when((rows == 0) | degraded, FAIL).otherwise(OK)
+    return files.select("path").join(found, "path", "left").select(
+        "path", rows.alias("rows"), degraded.alias("degraded"), status.alias("status")
+    )
+
+
+def sources_outcome(review: DataFrame) -> DataFrame:
+    """The review of the sources as one more row of the report."""
+    bad = F.count_if(F.col("status") == FAIL)
+    none = F.array().cast("array<string>")
+    return review.agg(bad.alias("violation_count")).select(
+        F.lit("sources").alias("check_name"),
+        F.when(F.col("violation_count") > 0, FAIL).otherwise(OK).alias("status"),
+        F.when(F.col("violation_count") > 0, F.format_string("%d sources are damaged or empty", "violation_count"))
+        .otherwise("every source gave rows").alias("summary"),
+        "violation_count",
+        F.lit(None).cast("string").alias("details"),
+        F.lit(None).cast("string").alias("sample_rows"),
+        none.alias("impacted_regions"),
+        F.lit(0).cast("long").alias("impacted_records"),
+    )
+
+
 def storage_key_audit(flights: DataFrame) -> DataFrame:
     """Flights that pass deduplication yet share their id with another start time or region."""
     return (

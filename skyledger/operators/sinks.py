@@ -141,13 +141,13 @@ def violations_json(summary: DataFrame) -> DataFrame:
 
 
 def write_document(document: DataFrame, path: str) -> None:
-    """One JSON text per row; a handful of rows."""
-    document.coalesce(1).write.mode("overwrite").text(path)
+    """One JSON text per row."""
+    document.write.mode("overwrite").text(path)
 
 
 def export(table: DataFrame, path: str, fmt: str = "csv") -> None:
-    """An aggregate table as CSV or JSON lines in one file."""
-    writer = table.coalesce(1).write.mode("overwrite")
+    """A table as CSV or JSON lines, in as many files as it has partitions."""
+    writer = table.write.mode("overwrite")
     if fmt == "csv":
         writer.option("header", True).csv(path)
     elif fmt == "json":

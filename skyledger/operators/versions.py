@@ -60,8 +60,8 @@ def _flight_key(df: DataFrame) -> list[Column]:
 def version_diff(old: DataFrame, new: DataFrame) -> DataFrame:
     """added, removed, changed or unchanged per flight (id, start second, region).
 
-    Both sides are united and grouped: one shuffle of keys and row hashes, no pairs
-    even where a key repeats within a version.
+    Both sides are united and counted, first per key and row hash, then per key: no pairs
+    even where a key repeats within a version. Repeated rows compare as multisets.
     """
     measured = [c for c in CANONICAL if c not in ("flight_id", "superseded")]
 
@@ -72,19 +72,15 @@ def version_diff(old: DataFrame, new: DataFrame) -> DataFrame:
 
     both = side(old, False).unionByName(side(new, True))
 
-    def part(is_new: bool) -> tuple[Column, Column]:
-        mine = F.col("is_new") == is_new
-        hashes = F.struct(F.min(F.when(mine, F.col("content"))), F.max(F.when(mine, F.col("content"))))
-        return F.count_if(mine), hashes
-
-    (n_old, old_content), (n_new, new_content) = part(False), part(True)
-    grouped = both.groupBy("flight_id", "start_second", "region").agg(
-        n_old.alias("n_old"), n_new.alias("n_new"), (old_content == new_content).alias("same")
+    n_old, n_new = F.count_if(~F.col("is_new")), F.count_if(F.col("is_new"))
+    copies = both.groupBy("flight_id", "start_second", "region", "content").agg(n_old.alias("n_old"), n_new.alias("n_new"))
+    grouped = copies.groupBy("flight_id", "start_second", "region").agg(
+        F.sum("n_old").alias("n_old"), F.sum("n_new").alias("n_new"), F.bool_and(F.col("n_old") == F.col("n_new")).alias("same")
     )
     change = (
         F.when(F.col("n_old") == 0, "added")
         .when(F.col("n_new") == 0, "removed")
-        .when(F.col("same") & (F.col("n_old") == F.col("n_new")), "unchanged")
+        .when(F.col("same"), "unchanged")
         .otherwise("changed")
     )
     return grouped.select("flight_id", "start_second", "region", change.alias("change"))
@@ -93,9 +89,12 @@ def version_diff(old: DataFrame, new: DataFrame) -> DataFrame:
 def row_difference(old: DataFrame, new: DataFrame) -> DataFrame:
     """Rows of one version that the other lacks, counting repeats."""
     cols = [c for c in CANONICAL if c in old.columns and c in new.columns]
-    a, b = old.select(*cols), new.select(*cols)
-    gone = a.exceptAll(b).withColumn("side", F.lit("old"))
-    return gone.unionByName(b.exceptAll(a).withColumn("side", F.lit("new")))
+    # One pass over both: copies count for the new version and against the old one.
+    both = old.select(*cols, F.lit(-1).alias("_n")).union(new.select(*cols, F.lit(1).alias("_n")))
+    left = both.groupBy(*cols).agg(F.sum("_n").alias("_n")).where("_n <> 0")
+    copies = F.explode(F.array_repeat(F.lit(0), F.abs("_n").cast("int")))
+    side = F.when(F.col("_n") < 0, "old").otherwise("new")
+    return left.select(*cols, side.alias("side"), copies.alias("_copy")).drop("_copy")
 
 
 def flights_with_issues(flights: DataFrame, issues: DataFrame) -> DataFrame:

@@ -1,18 +1,27 @@
-"""The end-to-end jobs: ingest, validate, aggregate, load regions."""
+"""The end-to-end jobs: ingest, validate, aggregate, locate, explain, load regions."""
 
 from __future__ import annotations
 
+import hashlib
 import json
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import aggregates, quality, sinks, versions
-from ..operators.normalize import infer_year, ingest_counters, metric_rows, normalize, rejected
+from ..operators import aggregates, geo, insights, quality, sinks, versions
+from ..operators.normalize import (
+    infer_year,
+    ingest_counters,
+    metric_exclusions,
+    metric_rows,
+    normalize_typed,
+    rejected,
+    type_rows,
+)
 from ..sources.canonical import read_flights
 from ..sources.regions import read_features, region_table
-from ..sources.registry import checksums, load_flights
+from ..sources.registry import checksums, list_files, load_flights
 from .staging import staged
 
 
@@ -22,9 +31,25 @@ def _now() -> datetime:
 
 def _batch_checksum(sums: DataFrame) -> str:
     """The checksum of the file; of several files, of their sorted checksums."""
-    listed = F.array_sort(F.collect_list("checksum"))
-    joint = F.when(F.size(listed) == 1, F.get(listed, F.lit(0))).otherwise(F.sha2(F.array_join(listed, ""), 256))
-    return sums.agg(joint.alias("c")).first().c
+    digest = hashlib.sha256()
+    first, n = "", 0
+    # One at a time, in order.
+    for n, row in enumerate(sums.select("checksum").orderBy("checksum").toLocalIterator(), 1):
+        first = first or row.checksum
+        digest.update(row.checksum.encode())
+    return first if n == 1 else digest.hexdigest()
+
+
+def _event(spark: SparkSession, root: str, name: str, version: str, **payload) -> None:
+    """One row of the log of finished stages."""
+    row = spark.range(1).select(
+        F.lit(name).alias("event"),
+        F.lit(version).alias("version"),
+        F.lit(json.dumps(payload, sort_keys=True)).alias("payload"),
+        F.uuid().alias("trace_id"),
+        F.lit(_now()).cast("timestamp_ntz").alias("emitted_at"),
+    )
+    sinks.append(row, f"{root}/events_log")
 
 
 def ingest(
@@ -36,14 +61,15 @@ def ingest(
     hint: str | None = None,
     default_tz: str = "UTC",
     dry_run: bool = False,
+    noise: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Load, normalise and store a batch; returns (flights, one row of counters).
 
     The loaded rows are written first: their order comes from the scan, and everything
     after it reads them more than once.
     """
-    raw = staged(load_flights(spark, paths, hint), "raw")
-    flights = normalize(raw, default_tz=default_tz)
+    raw = staged(load_flights(spark, paths, hint, noise), "raw")
+    flights = normalize_typed(staged(type_rows(raw, default_tz=default_tz), "typed"))
     counters = ingest_counters(raw, default_tz=default_tz)
     if dry_run:
         return flights, counters
@@ -65,6 +91,9 @@ def ingest(
     sinks.write_raw_csv(raw, artifacts["raw"])
     sinks.write_normalized(flights, tables["flights"], version, batch_year)
     sinks.replace_version(rejected(raw, default_tz=default_tz), tables["flights_rejected"], version)
+    review = quality.loaded_review(raw, list_files(spark, paths))
+    sinks.replace_version(review, f"{root}/source_review", version)
+    sinks.replace_version(metric_exclusions(flights), f"{root}/metric_exclusions", version)
     sums = staged(checksums(spark, paths), "checksums")
     sinks.write_document(sinks.lineage(counters, sums, artifacts), artifacts["lineage"])
     checksum = _batch_checksum(sums)
@@ -74,6 +103,8 @@ def ingest(
         ),
         log,
     )
+    row = counters.first()
+    _event(spark, root, "dataset.ingested", version, records=row.normalized, rejected=row.invalid)
     return flights, counters
 
 
@@ -87,14 +118,19 @@ def validate(
 ) -> tuple[DataFrame, DataFrame]:
     """Check a stored version; returns (report, one-row summary) and stores both with the issues."""
     flights = quality.counted_flights(read_flights(spark, f"{root}/flights", version), include_superseded)
-    report = staged(quality.quality_report(flights, checks), "quality_report")
+    checks = quality.default_checks() if checks is None else list(checks)
+    results = staged(quality.check_results(flights, checks), "check_results")
+    found = staged(quality.violations(flights, checks), "violations")
+    review = sinks.read_version(spark, f"{root}/source_review", version)
+    report = quality.report_of(results, found).unionByName(quality.sources_outcome(review))
+    report = staged(report, "quality_report")
     summary = quality.overall(report)
     if dry_run:
         return report, summary
     log = spark.read.parquet(f"{root}/dataset_version")
     versions.require_version(log, version)
     sinks.replace_version(report, f"{root}/quality_report", version)
-    sinks.replace_version(quality.flight_issues(flights, checks), f"{root}/flight_quality_issues", version)
+    sinks.replace_version(quality.issues_of(results, found), f"{root}/flight_quality_issues", version)
     base = f"{root}/artifacts/quality/{version}"
     sinks.write_document(sinks.quality_json(report, summary, version), f"{base}/report.json")
     sinks.write_document(sinks.violations_json(summary), f"{base}/quality_violations.json")
@@ -103,17 +139,43 @@ def validate(
         spark, version, _now(), row.quality_status, warn_count=row.warn_count, fail_count=row.fail_count
     )
     sinks.append(done, f"{root}/dataset_version")
+    _event(spark, root, "dataset.validated", version, status=row.quality_status)
     return report, summary
 
 
 def build_aggregates(spark: SparkSession, root: str, version: str, year: int | None = None) -> DataFrame:
-    """Yearly aggregates of a stored version."""
-    flights = read_flights(spark, f"{root}/flights", version)
-    years = aggregates.aggregates_year(metric_rows(flights, year))
+    """Yearly and monthly aggregates of a stored version; returns the yearly ones."""
+    metrics = metric_rows(read_flights(spark, f"{root}/flights", version), year)
+    years = aggregates.aggregates_year(metrics)
     sinks.write_version(years, f"{root}/aggregates_year", version)
+    sinks.write_version(aggregates.aggregates_month(metrics), f"{root}/aggregates_month", version)
+    _event(spark, root, "aggregates.built", version)
     return years
 
 
+def build_geo(spark: SparkSession, root: str, version: str, degrees: float = 1.0) -> DataFrame:
+    """The geo table of a stored version, from the stored region directory."""
+    flights = quality.counted_flights(read_flights(spark, f"{root}/flights", version))
+    cells = staged(geo.region_cells(spark.read.parquet(f"{root}/regions"), degrees), "cells")
+    table = geo.flights_geo(geo.assign_regions(flights, cells, degrees), version)
+    sinks.write_version(table.drop("dataset_version"), f"{root}/flights_geo", version)
+    return table
+
+
+def build_insights(spark: SparkSession, root: str, version: str) -> DataFrame:
+    """Sentences about the stored aggregates of a version."""
+
+    def stored(name: str) -> DataFrame:
+        return spark.read.parquet(f"{root}/{name}").where(F.col("dataset_version") == version).drop("dataset_version")
+
+    months = stored("aggregates_month").drop("vehicle_category")
+    facts = insights.region_facts(stored("aggregates_year"), aggregates.peak_month(months))
+    table = insights.insights(facts)
+    sinks.write_version(table, f"{root}/insights", version)
+    _event(spark, root, "insights.ready", version)
+    return table
+
+
 def load_regions(spark: SparkSession, paths: str | list[str], root: str) -> int:
     """Replace the region directory by the features of GeoJSON files."""
     features = read_features(spark, paths)

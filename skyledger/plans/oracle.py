@@ -88,7 +88,7 @@ grid AS (
 )"""
 
 _ASSIGNED = _NORM + "," + _REGIONS + """, hits AS (
-  SELECT f.k, f.seq, code, round((cx - longitude) * (cx - longitude) + (cy - latitude) * (cy - latitude), 6) AS d
+  SELECT f.k, f.seq, code, CAST((cx - longitude) * (cx - longitude) + (cy - latitude) * (cy - latitude) AS FLOAT) AS d
   FROM counted f JOIN shapes
     ON longitude BETWEEN w AND w + 72 AND latitude BETWEEN s AND s + 36
    AND NOT (shapes.k = 6 AND longitude > w + 36 AND latitude > s + 18)
@@ -244,8 +244,8 @@ ORACLE: dict[str, str] = {
         FROM counted""",
     "check_schema": f"""WITH {_NORM}
         SELECT 'schema' AS check_name, CASE WHEN n > 0 THEN 'FAIL' ELSE 'OK' END AS status,
-               CASE WHEN n > 0 THEN 'null values detected in required columns'
-                    ELSE 'schema matches canonical definition' END AS summary,
+               CASE WHEN n > 0 THEN 'required columns hold nulls'
+                    ELSE 'the columns are those of the record' END AS summary,
                n AS violation_count, CASE WHEN n > 0 THEN '{{"null_counts":{{"region_code":' || n || '}}}}' END AS details
         FROM (SELECT count(*) FILTER (region_code IS NULL) AS n FROM counted)""",
     "check_duration_range": f"""WITH {_NORM}
@@ -263,8 +263,8 @@ ORACLE: dict[str, str] = {
         ), per_year AS (
           SELECT y, string_agg(m, ',' ORDER BY m) AS ms, max(m) - min(m) + 1 - count(*) AS gaps FROM seen GROUP BY y)
         SELECT 'monthly_completeness' AS check_name, CASE WHEN sum(gaps) > 0 THEN 'WARN' ELSE 'OK' END AS status,
-               CASE WHEN sum(gaps) > 0 THEN 'missing intermediate months detected'
-                    ELSE 'months are contiguous within each year' END AS summary,
+               CASE WHEN sum(gaps) > 0 THEN 'months without flights lie between others'
+                    ELSE 'no year has a gap between its months' END AS summary,
                CAST(sum(gaps) AS BIGINT) AS violation_count,
                '{{"observed":{{' || string_agg('"' || y || '":[' || ms || ']', ',' ORDER BY y) || '}}}}' AS details
         FROM per_year""",
@@ -274,9 +274,8 @@ ORACLE: dict[str, str] = {
         FROM counted, q WHERE duration_minutes < q1 - 0.25 * (q3 - q1) OR duration_minutes > q3 + 0.25 * (q3 - q1)""",
     "quality_report": f"""WITH {_LINES}, keyed AS (
           SELECT *, count(*) OVER (PARTITION BY flight_id, start_time_utc, region_code) AS copies FROM lines
-        ), first_dups AS (
+        ), all_dups AS (
           SELECT * FROM keyed WHERE copies > 1
-          ORDER BY l_partkey, l_suppkey, duration_minutes, l_extendedprice LIMIT 5
         ), q AS (
           SELECT quantile_cont(duration_minutes, 0.25) AS q1, quantile_cont(duration_minutes, 0.75) AS q3 FROM lines
         ), seen AS (
@@ -289,21 +288,21 @@ ORACLE: dict[str, str] = {
                  (SELECT CAST(sum(g) AS BIGINT) FROM
                     (SELECT max(m) - min(m) + 1 - count(*) AS g FROM seen GROUP BY y)) AS gaps)
         SELECT *, '' AS impacted_regions, CAST(0 AS BIGINT) AS impacted_records FROM (
-          SELECT 'schema' AS check_name, 'OK' AS status, 'schema matches canonical definition' AS summary,
+          SELECT 'schema' AS check_name, 'OK' AS status, 'the columns are those of the record' AS summary,
                  CAST(0 AS BIGINT) AS violation_count
-          UNION ALL {_outcome('duration_range', 'all durations within expected range',
-                              "'found ' || n || ' durations outside range'")} FROM (SELECT durations AS n FROM n)
-          UNION ALL SELECT 'coordinate_range', 'OK', 'coordinates fall within expected bounds', 0
-          UNION ALL {_outcome('monthly_completeness', 'months are contiguous within each year',
-                              "'missing intermediate months detected'", 'WARN')} FROM (SELECT gaps AS n FROM n)
-          UNION ALL {_outcome('duration_outliers', 'no duration outliers detected',
-                              "'detected ' || n || ' potential duration outliers'", 'WARN')}
+          UNION ALL {_outcome('duration_range', 'every duration is in range',
+                              "n || ' durations are out of range'")} FROM (SELECT durations AS n FROM n)
+          UNION ALL SELECT 'coordinate_range', 'OK', 'every coordinate is on the globe', 0
+          UNION ALL {_outcome('monthly_completeness', 'no year has a gap between its months',
+                              "'months without flights lie between others'", 'WARN')} FROM (SELECT gaps AS n FROM n)
+          UNION ALL {_outcome('duration_outliers', 'every duration is inside the fence',
+                              "n || ' durations are outside the fence'", 'WARN')}
                     FROM (SELECT outliers AS n FROM n))
         UNION ALL
-        SELECT *, coalesce((SELECT string_agg(DISTINCT region_code, ',' ORDER BY region_code) FROM first_dups), ''),
-               (SELECT count(DISTINCT flight_id) FROM first_dups)
-        FROM ({_outcome('uniqueness', 'primary key combination is unique',
-                        "'found ' || n || ' duplicate key rows'")} FROM (SELECT dups AS n FROM n))""",
+        SELECT *, coalesce((SELECT string_agg(DISTINCT region_code, ',' ORDER BY region_code) FROM all_dups), ''),
+               (SELECT count(DISTINCT flight_id) FROM all_dups)
+        FROM ({_outcome('uniqueness', 'no two rows share a key',
+                        "n || ' rows share their key'")} FROM (SELECT dups AS n FROM n))""",
     "quality_status": f"""WITH {_ISSUES}, n AS (
           SELECT count(DISTINCT check_name) FILTER (severity = 'WARN') AS warn_count,
                  count(DISTINCT check_name) FILTER (severity = 'FAIL') AS fail_count FROM issues)
@@ -419,8 +418,8 @@ ORACLE: dict[str, str] = {
         SELECT y.region_code, y.year, flights_count, coalesce(c, 0) AS normalized_flights
         FROM years y LEFT JOIN n ON n.region_code = y.region_code AND n.year = y.year""",
     "stats_page": f"""WITH {_YEARS}
-        SELECT * FROM years WHERE region_code > 'R12' OR (region_code = 'R12' AND year > 1997)
-        ORDER BY region_code, year LIMIT 20""",
+        SELECT * FROM years WHERE region_code IS NOT NULL OR year > 1995
+        ORDER BY region_code NULLS FIRST, year LIMIT 20""",
     "region_facts": f"""WITH {_MONTHS}, years AS (
           SELECT region_code, year, {_MEASURES} FROM metric GROUP BY region_code, year
         ), peaks AS (
@@ -429,8 +428,8 @@ ORACLE: dict[str, str] = {
                a.duration_avg_min, {_pct('a.flights_count', 'b.flights_count')} AS flights_count_yoy_pct,
                {_pct('a.duration_avg_min', 'b.duration_avg_min')} AS duration_avg_min_yoy_pct,
                p.month AS peak_month, p.flights_count AS peak_month_flights
-        FROM years a LEFT JOIN years b ON a.region_code = b.region_code AND a.year = b.year + 1
-        JOIN peaks p ON p.rn = 1 AND p.region_code = a.region_code AND p.year = a.year""",
+        FROM years a LEFT JOIN years b ON a.region_code IS NOT DISTINCT FROM b.region_code AND a.year = b.year + 1
+        JOIN peaks p ON p.rn = 1 AND p.region_code IS NOT DISTINCT FROM a.region_code AND p.year = a.year""",
     "drilldown": f"""WITH {_YEARS}, top AS (
           SELECT *, row_number() OVER (PARTITION BY year ORDER BY flights_count DESC, duration_sum_min DESC,
                                        region_code NULLS FIRST) AS rn FROM years)
@@ -487,5 +486,5 @@ ORACLE["region_insights"] = f"""
            '100*(flights_count[year]-flights_count[year-1])/flights_count[year-1]; ' ||
            '100*(duration_avg_min[year]-duration_avg_min[year-1])/duration_avg_min[year-1]; ' ||
            'max_by(month, flights_count)' AS formula,
-           'aggregates_year/' || region_code || '/' || year AS source_keys
+           'aggregates_year/' || coalesce(region_code, '-') || '/' || year AS source_keys
     FROM ({ORACLE['region_facts']})"""

@@ -15,7 +15,7 @@ from ..operators.normalize import (
     duration_mismatch,
     ingest_counters,
     metric_rows,
-    normalize,
+    normalize_typed,
     rejected,
     type_rows,
 )
@@ -58,7 +58,8 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 def flights(spark, d):
-    return normalize(adapters.flight_reports(spark, d))
+    """Normalised flights; the typed rows are written once, as two steps read them."""
+    return normalize_typed(staged(type_rows(adapters.flight_reports(spark, d)), "typed"))
 
 
 def stored_flights(spark, d):
@@ -68,7 +69,7 @@ def stored_flights(spark, d):
 
 def first_version(spark, d):
     """The reports before any re-issue."""
-    return normalize(adapters.flight_reports(spark, d).where("_row_ord.seq = 0"))
+    return normalize_typed(staged(type_rows(adapters.flight_reports(spark, d).where("_row_ord.seq = 0")), "typed"))
 
 
 def years(spark, d):
@@ -83,8 +84,12 @@ def regions(spark, d):
     return region_table(parse_features(adapters.region_features(spark, d)))
 
 
-def assigned(spark, d):
-    cells = staged(geo.region_cells(regions(spark, d), CELL_DEGREES), "cells")
+def region_grid(spark, d):
+    return staged(geo.region_cells(regions(spark, d), CELL_DEGREES), "cells")
+
+
+def assigned(spark, d, cells=None):
+    cells = region_grid(spark, d) if cells is None else cells
     counted = flights(spark, d).where(~F.col("superseded"))
     return geo.assign_regions(counted, cells, CELL_DEGREES)
 
@@ -231,7 +236,7 @@ def quality_report(spark, d):
     return report.select(
         "check_name", "status", "summary", "violation_count",
         F.array_join("impacted_regions", ",").alias("impacted_regions"),
-        F.size("impacted_records").alias("impacted_records"),
+        "impacted_records",
     )
 
 
@@ -319,7 +324,8 @@ def geocoded_ratio(spark, d):
 
 @query
 def location_audit(spark, d):
-    return geo.audit_locations(geo.flights_geo(assigned(spark, d), "v1"), regions(spark, d))
+    cells = region_grid(spark, d)
+    return geo.audit_locations(geo.flights_geo(assigned(spark, d, cells), "v1"), cells, CELL_DEGREES)
 
 
 @query
@@ -395,7 +401,7 @@ def reconcile_aggregates(spark, d):
 
 @query
 def stats_page(spark, d):
-    return agg.stats_page(years(spark, d).where("region_code IS NOT NULL"), after=("R12", 1997), size=20)
+    return agg.stats_page(years(spark, d), after=(None, 1995), size=20)
 
 
 # Versions and insights.
@@ -423,7 +429,7 @@ def region_facts(spark, d):
     rows = stored_flights(spark, d)
     metrics = metric_rows(rows)
     peaks = agg.peak_month(agg.aggregates_month(metrics, by_vehicle=False))
-    return insights.region_facts(agg.aggregates_year(metrics).where("region_code IS NOT NULL"), peaks)
+    return insights.region_facts(agg.aggregates_year(metrics), peaks)
 
 
 @query
@@ -480,8 +486,8 @@ def stream_daily_counts(spark, d):
     rows = adapters.from_events(events).withColumn(
         "start_time_utc", F.to_timestamp(F.concat(F.col("start_time_utc").cast("string"), F.lit("+00:00")))
     )
-    live.write_updates(live.activity_counts(rows), f"{root}/out", f"{root}/checkpoint").awaitTermination()
-    out = live.latest(spark.read.parquet(f"{root}/out"))
+    live.write_counts(rows, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    out = live.totals(spark.read.parquet(f"{root}/out"))
     # The clock time in UTC of the window start, whatever the session zone.
     seconds = F.unix_micros("window_start") / F.lit(1_000_000)
     epoch = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))

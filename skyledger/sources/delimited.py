@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import csv
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,58 +12,71 @@ from ..functions.text import blank_to_null
 from ..schema import RAW_COLUMNS, header_name, target_of, unique_names
 
 
-def _headers(spark: SparkSession, paths: list[str]) -> list[tuple[str, list[str]]]:
-    """(header line, files) for every distinct header line.
+#: Different header lines that one load may mix.
+MAX_HEADERS = 1000
 
-    One text scan; each task hands on at most one line per file.
+
+def _looks(spark: SparkSession, paths: list[str]) -> dict[tuple[str, bool], list[str]]:
+    """Files by header line and by whether a quoted cell holds a line break.
+
+    One text scan; per file one row leaves the tasks: its first line, and whether some line
+    has an odd number of quotes, which only a cell that goes on in the next line makes.
     """
     lines = spark.read.text(paths).select(
         "value",
         F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"),
     )
-    first = (
-        lines.where("block = 0")
-        .withColumn("rank", F.row_number().over(Window.partitionBy("path").orderBy("line")))
-        .where("rank = 1")
-    )
-    # File names only; Spark's own file index holds the same list on the driver.
-    groups = first.groupBy("value").agg(F.array_sort(F.collect_list("path")).alias("files"))
-    return [(r.value, r.files) for r in groups.orderBy("value").collect()]
+    odd = F.length("value") - F.length(F.replace("value", F.lit('"')))
+    files = lines.groupBy("path").agg(F.min_by("value", "at").alias("header"), F.bool_or(odd % 2 == 1).alias("broken"))
+    out: dict[tuple[str, bool], list[str]] = {}
+    # File names, as Spark's own file index holds them; one at a time.
+    for r in files.orderBy("header", "broken", "path").toLocalIterator():
+        out.setdefault((r.header, r.broken), []).append(r.path)
+        if len(out) > MAX_HEADERS:
+            raise ValueError(f"more than {MAX_HEADERS} different header lines")
+    return out
 
 
 def _cells(header_line: str) -> list[str]:
     return next(csv.reader([header_line.removeprefix("\ufeff")]), [])
 
 
-def _read(spark: SparkSession, paths: list[str], header: list[str], verify: bool) -> DataFrame:
-    """Rows of files with this header; `verify` makes Spark compare it with every file."""
+def _read(spark: SparkSession, paths: list[str], header: list[str], verify: bool, broken: bool = False) -> DataFrame:
+    """Rows of files with this header; `verify` makes Spark compare it with every file.
+
+    `broken` files have line breaks in cells; each of them is read by one task.
+    """
     names = header if verify else [f"c{i}" for i in range(len(header))]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')
-    rows = reader.option("enforceSchema", not verify).schema(schema).csv(paths)
+    rows = reader.option("multiLine", broken).option("enforceSchema", not verify).schema(schema).csv(paths)
     return _named(rows, header)
 
 
-def scan_delimited(spark: SparkSession, paths: str | list[str], mixed_headers: bool = False) -> DataFrame:
+def scan_delimited(
+    spark: SparkSession, paths: str | list[str], mixed_headers: bool = False, line_breaks: bool = True
+) -> DataFrame:
     """Rows of CSV files: all columns as text under snake_case names, plus source columns.
 
-    Large files split. Without `mixed_headers` every file must have the header of the
-    first one, which Spark verifies while it reads. With it, and where a header repeats
-    a name, the headers are looked up first and files are read in groups of equal
-    header. The null tokens become null.
+    A first text scan looks at headers and quotes. Files are then read in groups of equal
+    header; those with quoted line breaks are read whole by one task each, all others split.
+    With `mixed_headers` and `line_breaks` off that scan is left out: every file must have
+    the header of the first one, which Spark verifies while it reads. The null tokens become null.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     first = spark.read.text(paths[0]).first()
     if first is None:
         raise ValueError(f"no lines in {paths[0]}")
     header = _cells(first.value)
-    if not mixed_headers and len({h.lower() for h in header}) == len(header):
+    if not mixed_headers and not line_breaks and len({h.lower() for h in header}) == len(header):
         return _read(spark, paths, header, verify=True)
+    looks = _looks(spark, paths)
+    if not mixed_headers and len({h for h, _ in looks}) > 1:
+        raise ValueError(f"files with different headers: {sorted(h for h, _ in looks)[:2]}")
     out = None
-    for line, files in _headers(spark, paths):
-        part = _read(spark, files, _cells(line), verify=False)
+    for (line, broken), files in looks.items():
+        part = _read(spark, files, _cells(line), verify=False, broken=broken)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
 

@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import hashlib
+import inspect
+import re
 import warnings
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import pandas as pd
+from pyarrow import fs as pa_fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.clean import concat_tables, sanitize, sanitize_cells
 from .delimited import scan_delimited, to_raw_columns
 from .html import scan_html
-from .textsalvage import scan_text_tables
+from .textsalvage import drop_noise, scan_text_tables
 from .workbook import scan_workbooks
 
 Loader = Callable[[SparkSession, list[str]], DataFrame]
@@ -72,41 +77,85 @@ def classify(files: DataFrame, hint: str | None = None) -> DataFrame:
     return files.withColumn("format", format_of(F.col("path"), hint))
 
 
+#: Larger files are digested through a buffer instead of as one value.
+WHOLE_BYTES = 256 << 20
+
+
+def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """SHA-256 of files read through a buffer of bounded size."""
+    for batch in batches:
+        sums = []
+        for path in batch["path"]:
+            files, name = pa_fs.FileSystem.from_uri(path.replace("file:/", "file:///", 1) if re.match("file:/[^/]", path) else path)
+            digest = hashlib.sha256()
+            with files.open_input_stream(name) as stream:
+                while block := stream.read(8 << 20):
+                    digest.update(block)
+            sums.append(digest.hexdigest())
+        yield pd.DataFrame({"path": batch["path"], "checksum": sums})
+
+
 def checksums(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """SHA-256 of each file. A file is one row, as the checksum covers all its bytes."""
-    files = spark.read.format("binaryFile").option("ignoreMissingFiles", True).load(paths)
-    return files.select("path", F.sha2("content", 256).alias("checksum"))
+    """(path, checksum): SHA-256 of each file, empty text for a given path that is not there.
+
+    Files up to WHOLE_BYTES are digested by Spark as one value each, larger ones in a task
+    that streams them.
+    """
+    given = [paths] if isinstance(paths, str) else list(paths)
+    there = [p for p in given if _exists(spark, p)]
+    absent = spark.createDataFrame([(p, "") for p in given if p not in there], "path string, checksum string")
+    if not there:
+        return absent
+    files = spark.read.format("binaryFile").load(there)
+    small = files.where(F.col("length") <= WHOLE_BYTES).select("path", F.sha2("content", 256).alias("checksum"))
+    large = files.where(F.col("length") > WHOLE_BYTES).select("path")
+    return small.unionByName(large.mapInPandas(_digests, "path string, checksum string")).unionByName(absent)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path or a pattern of paths names something, asked of Spark's own file system."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = there.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(there)
+    return found is not None and len(found) > 0
 
 
-def load_flights(spark: SparkSession, paths: str | list[str], hint: str | None = None) -> DataFrame:
+def load_flights(spark: SparkSession, paths: str | list[str], hint: str | None = None, noise: str | None = None) -> DataFrame:
     """Raw rows of files of any known format: one scan per format, united.
 
-    A file of unknown format is an error.
+    A file of unknown format is an error. `noise` is a pattern of page headers and footers;
+    rows with a cell that matches, and repeated header rows, are dropped.
     """
-    classes = classify(list_files(spark, paths), hint).groupBy("format")
-    # File names, as in Spark's own file index; at most one row per format.
-    found = {r.format: r.files for r in classes.agg(F.array_sort(F.collect_list("path")).alias("files")).collect()}
+    found: dict[str, list[str]] = {}
+    # File names, as in Spark's own file index; one at a time.
+    for r in classify(list_files(spark, paths), hint).orderBy("format", "path").toLocalIterator():
+        found.setdefault(r.format, []).append(r.path)
     if None in found:
         raise ValueError(f"unknown source format: {found[None][:5]}")
     if not found:
         raise ValueError(f"no files in {paths}")
-    return concat_tables(*[FORMATS[name].load(spark, files) for name, files in sorted(found.items())])
+    loads = [FORMATS[name].load for name in sorted(found)]
+    own = [{"noise": noise} if noise and "noise" in inspect.signature(load).parameters else {} for load in loads]
+    return concat_tables(*[load(spark, found[name], **o) for load, name, o in zip(loads, sorted(found), own, strict=True)])
+
+
+def _cells(cells: DataFrame, noise: str | None) -> DataFrame:
+    return sanitize_cells(cells if noise is None else drop_noise(cells, noise))
 
 
 def _load_csv(spark: SparkSession, files: list[str]) -> DataFrame:
     return sanitize(to_raw_columns(scan_delimited(spark, files, mixed_headers=len(files) > 1)))
 
 
-def _load_html(spark: SparkSession, files: list[str]) -> DataFrame:
-    return sanitize_cells(scan_html(spark, files))
+def _load_html(spark: SparkSession, files: list[str], noise: str | None = None) -> DataFrame:
+    return _cells(scan_html(spark, files), noise)
 
 
-def _load_xlsx(spark: SparkSession, files: list[str]) -> DataFrame:
-    return sanitize_cells(scan_workbooks(spark, files))
+def _load_xlsx(spark: SparkSession, files: list[str], noise: str | None = None) -> DataFrame:
+    return _cells(scan_workbooks(spark, files), noise)
 
 
-def _load_text(spark: SparkSession, files: list[str]) -> DataFrame:
-    return sanitize_cells(scan_text_tables(spark, files))
+def _load_text(spark: SparkSession, files: list[str], noise: str | None = None) -> DataFrame:
+    return _cells(scan_text_tables(spark, files), noise)
 
 
 # Names and aliases of the built-in formats.

@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import header_target, strip
-from ..operators.sizes import broadcast_if_small
-from ..schema import CELLS_SCHEMA
+from ..schema import ALIAS_TO_TARGET
 
 # Delimiters in order of preference.
 _DELIMITERS = (";", "\t", ",")
@@ -29,6 +28,12 @@ def _fields(line: Column, delimiter: Column) -> Column:
     return F.transform(F.split(line, F.concat(F.lit(r"\Q"), delimiter, F.lit(r"\E"))), strip)
 
 
+def _may_be_header(line: Column) -> Column:
+    """Cheap first test: a known column name is somewhere in the letters of the line."""
+    letters = F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", "")
+    return letters.rlike("|".join(sorted(ALIAS_TO_TARGET)))
+
+
 def _header_delimiter(line: Column) -> Column:
     """Delimiter under which the line is a header: two fields or more, one of them known."""
     choice = None
@@ -37,47 +42,53 @@ def _header_delimiter(line: Column) -> Column:
         fits = (F.size(fields) >= 2) & F.exists(fields, lambda f: header_target(f).isNotNull())
         fits = F.contains(line, F.lit(d)) & fits
         choice = F.when(fits, d) if choice is None else choice.when(fits, d)
-    return choice
+    some = F.lit(False)
+    for d in _DELIMITERS:
+        some = some | F.contains(line, F.lit(d))
+    return F.when(some & _may_be_header(line), choice)
 
 
 def _decoded(value: Column, utf8: Column) -> Column:
     return F.when(utf8, value).otherwise(F.decode(value.cast("binary"), "ISO-8859-1"))
 
 
-def salvage(lines: DataFrame) -> DataFrame:
-    """Table rows of each source (`_src_path`, `_row_ord`, `value`) in the cell shape.
-
-    The header is the first line with a known column name; later lines with as many
-    fields are data. Text that is not UTF-8 is read as Latin-1, per source. All rows are
-    marked degraded.
+def _table_lines(lines: DataFrame) -> DataFrame:
+    """Lines behind the header of their source that hold its delimiter, cut into cells.
 
-    The header of a source is a pre-aggregated minimum. It is joined back by broadcast
-    while the sources are few; otherwise the join shuffles and AQE splits a big source.
+    The header of a source is a pre-aggregated minimum, as are its column targets; AQE
+    chooses how it is joined back.
     """
     rows = lines.withColumns({"_utf8": F.is_valid_utf8("value"), "_line": strip(F.col("value"))})
     first = F.struct("_row_ord", F.col("_line").alias("line"), _header_delimiter(F.col("_line")).alias("d"))
-    headers = (
-        rows.groupBy("_src_path")
-        .agg(
-            F.min(F.when(first["d"].isNotNull(), first)).alias("h"),
-            F.bool_and("_utf8").alias("_all_utf8"),
-        )
-        .where("h IS NOT NULL")
-        .select(
-            "_src_path",
-            F.col("h._row_ord").alias("_at"),
-            F.col("h.d").alias("_delimiter"),
-            _fields(F.col("h.line"), F.col("h.d")).alias("header"),
-            "_all_utf8",
-        )
+    headers = rows.groupBy("_src_path").agg(
+        F.min(F.when(first["d"].isNotNull(), first)).alias("h"),
+        F.bool_and("_utf8").alias("_all_utf8"),
     )
-    joined = lines.join(broadcast_if_small(headers), "_src_path").where(F.col("_row_ord") > F.col("_at"))
+    headers = headers.where("h IS NOT NULL").select(
+        "_src_path",
+        F.col("h._row_ord").alias("_at"),
+        F.col("h.d").alias("_delimiter"),
+        _fields(F.col("h.line"), F.col("h.d")).alias("header"),
+        "_all_utf8",
+    )
+    headers = headers.withColumn("_targets", F.transform("header", header_target))
+    joined = lines.join(headers, "_src_path").where(F.col("_row_ord") > F.col("_at"))
     text = strip(_decoded(F.col("value"), F.col("_all_utf8")))
-    cells = _fields(text, F.col("_delimiter"))
+    # The delimiter is a cheap first test on lines that are no table rows.
+    kept = joined.where(F.contains(F.col("value"), F.col("_delimiter")))
+    return kept.withColumn("cells", _fields(text, F.col("_delimiter")))
+
+
+def salvage(lines: DataFrame) -> DataFrame:
+    """Table rows of each source (`_src_path`, `_row_ord`, `value`) in the cell shape.
+
+    The header is the first line with a known column name; later lines with as many
+    fields are data, the others are in `salvage_rejects`. Text that is not UTF-8 is read
+    as Latin-1, per source. All rows are marked degraded; `_targets` are the raw columns
+    of the header.
+    """
+    kept = _table_lines(lines).where(F.size("cells") == F.size("header"))
     none = F.lit(None).cast("string")
-    # Some delimiter is a cheap first test on lines that are no table rows.
-    kept = joined.where(F.contains(F.col("value"), F.col("_delimiter"))).withColumn("cells", cells)
-    kept = kept.where(F.size("cells") == F.size("header"))
     return kept.select(
         "_src_path",
         none.alias("_src_tz"),
@@ -86,11 +97,24 @@ def salvage(lines: DataFrame) -> DataFrame:
         "header",
         "cells",
         F.transform("cells", lambda _: none).alias("links"),
+        "_targets",
+    )
+
+
+def salvage_rejects(lines: DataFrame) -> DataFrame:
+    """Table lines that the salvage leaves out, and sources without a header, with the reason."""
+    odd = _table_lines(lines).where(F.size("cells") != F.size("header"))
+    counts = F.format_string("%d fields, header has %d", F.size("cells"), F.size("header"))
+    line = F.struct("_row_ord", _header_delimiter(strip(F.col("value"))).alias("d"))
+    headless = lines.groupBy("_src_path").agg(
+        F.min("_row_ord").alias("_row_ord"), F.count_if(line["d"].isNotNull()).alias("_headers")
     )
+    headless = headless.where("_headers = 0").select("_src_path", "_row_ord", F.lit("no header").alias("reason"))
+    return odd.select("_src_path", "_row_ord", counts.alias("reason")).unionByName(headless)
 
 
 def scan_text_tables(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    return salvage(text_lines(spark, paths)).to(CELLS_SCHEMA)
+    return salvage(text_lines(spark, paths))
 
 
 def drop_noise(cells: DataFrame, pattern: str) -> DataFrame:

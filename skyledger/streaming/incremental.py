@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..operators import aggregates, quality
+from ..operators import aggregates, insights, quality
 from ..operators.normalize import flag_superseded, is_valid, metric_rows, type_rows
 from ..schema import CANONICAL
 from ..plans.staging import staged
@@ -37,6 +37,14 @@ class Tables:
     def aggregates(self) -> str:
         return f"{self.root}/aggregates_year"
 
+    @property
+    def months(self) -> str:
+        return f"{self.root}/aggregates_month"
+
+    @property
+    def insights(self) -> str:
+        return f"{self.root}/insights"
+
     @property
     def quality(self) -> str:
         return f"{self.root}/quality_report"
@@ -89,6 +97,15 @@ def process_batch(batch: DataFrame, batch_id: int, tables: Tables, checks: list[
     good = typed.where(is_valid())
     records = good.count()
     if records == 0:
+        # Nothing usable arrived: that fails the gate and is on record.
+        none = spark.range(1).select(
+            F.lit("valid_rows").alias("check_name"), F.lit(quality.FAIL).alias("status"),
+            F.lit("no valid row arrived").alias("summary"), F.lit(0).cast("long").alias("violation_count"),
+            F.lit(None).cast("string").alias("details"), F.lit(batch_id).alias("batch_id"),
+        )
+        _overwrite(none, tables.quality, "batch_id")
+        names = ("dataset.ingested", "dataset.validated")
+        _write_events([_event(spark, n, batch_id, 0, quality.FAIL) for n in names], tables)
         return
     log = [_event(spark, "dataset.ingested", batch_id, records, "OK")]
 
@@ -101,31 +118,50 @@ def process_batch(batch: DataFrame, batch_id: int, tables: Tables, checks: list[
         # The rows are kept for review, nothing downstream runs.
         _overwrite(good.withColumn("batch_id", F.lit(batch_id)), f"{tables.root}/quarantine", "batch_id")
     else:
-        _overwrite(good.withColumn("batch_id", F.lit(batch_id)), tables.reports, "batch_id")
+        _overwrite(good.withColumn("batch_id", F.lit(batch_id)), tables.reports, "year", "month", "batch_id")
         recompute(spark, good, tables)
         log.append(_event(spark, "aggregates.built", batch_id, records, status))
+        refresh_insights(spark, tables)
+        log.append(_event(spark, "insights.ready", batch_id, records, status))
+    _write_events(log, tables)
+
+
+def _write_events(log: list[DataFrame], tables: Tables) -> None:
     events = log[0]
     for event in log[1:]:
         events = events.unionByName(event)
     _overwrite(events, tables.events, "batch_id")
 
 
+def touched_months(table: DataFrame, months: list[tuple[int, int]]) -> DataFrame:
+    """The rows of the given (year, month) partitions; others are not read."""
+    code = F.col("year") * 12 + F.col("month")
+    years = sorted({y for y, _ in months})
+    return table.where(F.col("year").isin(years) & code.isin(sorted(y * 12 + m for y, m in months)))
+
+
 def recompute(spark: SparkSession, arrived: DataFrame, tables: Tables) -> None:
     """Redo supersession for the months the arrived rows touch, aggregates for their years.
 
-    The touched partitions are at most 12 per year; they prune the read.
+    Reports and flights are partitioned by year and month, so only touched partitions are read.
     """
-    months = arrived.select("year", "month").distinct()
-    touched = months.collect()
-    in_months = F.lit(False)
-    for r in touched:
-        in_months = in_months | ((F.col("year") == r.year) & (F.col("month") == r.month))
-    reports = spark.read.parquet(tables.reports).where(in_months)
+    # Twelve rows a year at most, as many years as a timestamp has.
+    months = [(r.year, r.month) for r in arrived.select("year", "month").distinct().toLocalIterator()]
+    reports = touched_months(spark.read.parquet(tables.reports), months)
     flights = flag_superseded(reports.drop("batch_id"))
     _overwrite(flights.select(*CANONICAL, "year", "month"), tables.flights, "year", "month")
-    years = sorted({r.year for r in touched})
+    years = sorted({y for y, _ in months})
     stored = spark.read.parquet(tables.flights).where(F.col("year").isin(years)).select(*CANONICAL)
-    _overwrite(aggregates.aggregates_year(metric_rows(stored)), tables.aggregates, "year")
+    metrics = metric_rows(stored)
+    _overwrite(aggregates.aggregates_year(metrics), tables.aggregates, "year")
+    _overwrite(aggregates.aggregates_month(metrics, by_vehicle=False), tables.months, "year")
+
+
+def refresh_insights(spark: SparkSession, tables: Tables) -> None:
+    """Sentences from the stored aggregates, which are few rows per region."""
+    years, months = spark.read.parquet(tables.aggregates), spark.read.parquet(tables.months)
+    facts = insights.region_facts(years, aggregates.peak_month(months))
+    _overwrite(insights.insights(facts), tables.insights, "year")
 
 
 def ingest_stream(

@@ -38,7 +38,7 @@ def test_ingest_validate_aggregate(spark, tmp_path):
     assert (state.status, state.warn_count, state.fail_count, state.checksum) == ("validated", 0, 0, lineage["checksum"])
     assert sinks.read_version(spark, f"{root}/flight_quality_issues", "v1").count() == 0
     report = json.loads(text_of(f"{root}/artifacts/quality/v1/report.json"))
-    assert report["dataset_version"] == "v1" and len(report["checks"]) == 6
+    assert report["dataset_version"] == "v1" and len(report["checks"]) == 7
     short = json.loads(text_of(f"{root}/artifacts/quality/v1/quality_violations.json"))
     assert short == {"warn_count": 0, "fail_count": 0, "total": 0, "quality_status": "validated"}
 

@@ -40,9 +40,62 @@ def test_csv_files_with_other_header_order(spark, tmp_path):
     write(tmp_path, "b.csv", "START,Номер полета\n2024-01-02,B\n")
     rows = registry.load_flights(spark, str(tmp_path)).collect()
     assert {(r.flight_id, r.start_time) for r in rows} == {("A", "2024-01-01"), ("B", "2024-01-02")}
-    plain = delimited.scan_delimited(spark, sorted(str(p) for p in tmp_path.glob("*.csv")))
+    files = sorted(str(p) for p in tmp_path.glob("*.csv"))
+    with pytest.raises(ValueError, match="different headers"):
+        delimited.scan_delimited(spark, files)
     with pytest.raises(Exception):
-        plain.collect()
+        delimited.scan_delimited(spark, files, line_breaks=False).collect()
+
+
+def test_csv_line_breaks_in_cells(spark, tmp_path):
+    broken = write(tmp_path, "a.csv", 'flight_id,notes,start\nA,"two\nlines, ""quoted""",2024-01-01\nB,x,2024-01-02\n')
+    plain = write(tmp_path, "b.csv", 'flight_id,notes,start\nC,"x ""y""",2024-01-03\n')
+    rows = delimited.scan_delimited(spark, [broken, plain]).collect()
+    assert {(r.flight_id, r.notes, r.start) for r in rows} == {
+        ("A", 'two\nlines, "quoted"', "2024-01-01"), ("B", "x", "2024-01-02"), ("C", 'x "y"', "2024-01-03")}
+
+
+def test_checksums(spark, tmp_path, monkeypatch):
+    path = write(tmp_path, "a.csv", "flight_id\nA\n")
+    want = hashlib.sha256(b"flight_id\nA\n").hexdigest()
+    absent = str(tmp_path / "none.csv")
+    assert {r.checksum for r in registry.checksums(spark, [path, absent]).collect()} == {want, ""}
+    monkeypatch.setattr(registry, "WHOLE_BYTES", 3)
+    assert [r.checksum for r in registry.checksums(spark, path).collect()] == [want]
+
+
+def test_salvage_rejects(spark):
+    rows = [("a", 0, "noise"), ("a", 1, "Flight No;Start"), ("a", 2, "F1;2024-01-01"), ("a", 3, "F2;x;y"), ("b", 0, "q;r"), ("b", 1, "s")]
+    lines = spark.createDataFrame(rows, "_src_path string, _row_ord bigint, value string")
+    assert [r.cells for r in textsalvage.salvage(lines).collect()] == [["F1", "2024-01-01"]]
+    got = {(r._src_path, r._row_ord, r.reason) for r in textsalvage.salvage_rejects(lines).collect()}
+    assert got == {("a", 3, "3 fields, header has 2"), ("b", 0, "no header")}
+
+
+def test_workbook_dates(spark, tmp_path):
+    styles = (
+        '<styleSheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><numFmts count="2">'
+        '<numFmt numFmtId="170" formatCode="yyyy\\-mm\\-dd hh:mm"/><numFmt numFmtId="171" formatCode="0.0&quot;days&quot;"/></numFmts>'
+        '<cellXfs count="4"><xf numFmtId="0"/><xf numFmtId="170"/><xf numFmtId="171"/><xf numFmtId="20"/></cellXfs></styleSheet>'
+    )
+    sheet = (
+        '<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>'
+        '<row r="1"><c r="A1" t="inlineStr"><is><t>flight_id</t><rPh sb="0" eb="1"><t>zzz</t></rPh></is></c></row>'
+        '<row r="2"><c r="A2" s="1"><v>45306.28125</v></c><c r="B2" s="2"><v>45306.5</v></c><c r="C2" s="3"><v>0.5</v></c>'
+        '<c r="D2" t="b"><v>1</v></c><c r="E2" t="e"><v>#N/A</v></c><c r="F2" s="1"><v>1</v></c></row></sheetData></worksheet>'
+    )
+    path = book([], shared=False)
+    content = io.BytesIO()
+    with zipfile.ZipFile(io.BytesIO(path)) as old, zipfile.ZipFile(content, "w") as new:
+        for name in old.namelist():
+            new.writestr(name, sheet if "sheet" in name and name.startswith("xl/worksheets") else old.read(name))
+        new.writestr("xl/styles.xml", styles)
+    rows = list(workbook.sheet_rows(content.getvalue()))
+    assert rows[0] == ["flight_id"]
+    assert rows[1] == ["2024-01-15 06:45:00", "45306.5", "12:00:00", "true", None, "1900-01-01 00:00:00"]
+    assert workbook.serial_text("0.25", True) == "1904-01-01 06:00:00"
+    (tmp_path / "bad.xls").write_bytes(b"old binary")
+    assert workbook.scan_workbooks(spark, str(tmp_path / "bad.xls")).count() == 0
 
 
 def test_first_filled_of_several_sources(spark, tmp_path):
@@ -105,10 +158,12 @@ def test_html_without_thead_or_table():
     assert html.first_table("<p>none</p>")[1] is False
 
 
-def test_html_page_without_table_is_an_error(spark):
-    pages = spark.createDataFrame([("p", "<p>x</p>")], "key string, html string")
-    with pytest.raises(Exception, match="no <table>"):
-        html.table_rows(pages).collect()
+def test_html_page_without_table_gives_no_row(spark):
+    pages = spark.createDataFrame([("p", "<p>x</p>"), ("q", "<table><tr><td>id</td></tr><tr><td>1</td></tr></table>")], "key string, html string")
+    cells = html.table_rows(pages)
+    assert [r._src_path for r in cells.collect()] == ["q"]
+    review = {r.path: r.status for r in quality.source_review(cells, pages.withColumnRenamed("key", "path"), width=1).collect()}
+    assert review == {"p": "FAIL", "q": "OK"}
 
 
 def book(rows, shared=True):

@@ -46,7 +46,7 @@ def test_stream_equals_batch_also_after_a_restart(spark, tmp_path):
     assert sorted(map(str, stored.collect())) == sorted(map(str, years))
     assert spark.read.parquet(tables.rejected).count() == 2
     events = [r.event for r in spark.read.parquet(tables.events).orderBy("batch_id", "event").collect()]
-    assert events == ["aggregates.built", "dataset.ingested", "dataset.validated"] * 2
+    assert events == ["aggregates.built", "dataset.ingested", "dataset.validated", "insights.ready"] * 2
 
 
 def test_late_original_does_not_win_over_a_newer_delivery(spark, tmp_path):
@@ -80,13 +80,46 @@ def test_failed_quality_stops_the_batch(spark, tmp_path):
     assert events == {"dataset.ingested": "OK", "dataset.validated": "FAIL"}
 
 
+def test_batch_without_a_valid_row_is_on_record(spark, tmp_path):
+    tables = incremental.Tables(str(tmp_path / "t"))
+    incremental.process_batch(raw(spark, [{"flight_id": "bad"}]), 3, tables, CHECKS)
+    events = {(r.event, r.payload.records, r.payload.quality_status) for r in spark.read.parquet(tables.events).collect()}
+    assert events == {("dataset.ingested", 0, "FAIL"), ("dataset.validated", 0, "FAIL")}
+    assert [r.status for r in spark.read.parquet(tables.quality).collect()] == ["FAIL"]
+    assert spark.read.parquet(tables.rejected).count() == 1
+
+
+def test_recompute_reads_touched_months_only(spark, tmp_path):
+    tables = incremental.Tables(str(tmp_path / "t"))
+    incremental.process_batch(raw(spark, [day(i, month=1 + i % 5) for i in range(10)]), 0, tables, CHECKS)
+    found = incremental.touched_months(spark.read.parquet(tables.reports), [(2024, 2), (1, 1)])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
+    assert len(found.inputFiles()) > 1 and found.count() == 2
+    assert {r.month for r in found.collect()} == {2}
+
+
+def test_late_rows_count(spark, tmp_path):
+    schema = "start_time_utc timestamp, region_code string, duration_minutes double"
+    landing = str(tmp_path / "in")
+    for when in ("2024-06-01 10:00:00", "2020-01-01 10:00:00", "2024-06-01 11:00:00"):
+        spark.createDataFrame([(when, "R", 2.0)], "t string, region_code string, duration_minutes double").select(
+            F.col("t").cast("timestamp").alias("start_time_utc"), "region_code", "duration_minutes"
+        ).coalesce(1).write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(schema).parquet(landing)
+        live.write_counts(stream, f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination()
+    got = live.totals(spark.read.parquet(f"{tmp_path}/out")).collect()
+    assert sorted((str(r.window_start)[:10], r.flights_count, float(r.duration_sum_min)) for r in got) == [
+        ("2020-01-01", 1, 2.0), ("2024-06-01", 2, 4.0)]
+
+
 def test_live_counts_equal_batch(spark, tmp_path, any_zone):
     d = "/root/testdata/sf0.001"
     events = spark.readStream.schema(spark.read.parquet(f"{d}/events.parquet").schema).parquet(f"{d}/event[s].parquet")
     instant = F.to_timestamp(F.concat(F.col("start_time_utc").cast("string"), F.lit("+00:00")))
-    counts = live.activity_counts(adapters.from_events(events).withColumn("start_time_utc", instant))
-    live.write_updates(counts, f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination()
+    flights = adapters.from_events(events).withColumn("start_time_utc", instant)
+    live.write_counts(flights, f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination()
     got = {(r.s // 86400, r.region_code): r.flights_count
-           for r in live.latest(spark.read.parquet(f"{tmp_path}/out")).withColumn("s", F.unix_seconds("window_start")).collect()}
+           for r in live.totals(spark.read.parquet(f"{tmp_path}/out")).withColumn("s", F.unix_seconds("window_start")).collect()}
     batch = adapters.event_flights(spark, d).groupBy(F.datediff(F.to_date("start_time_utc"), F.lit("1970-01-01").cast("date")).alias("d"), "region_code").count()
     assert got == {(r.d, r.region_code): r["count"] for r in batch.collect()}
