@@ -30,8 +30,29 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator
         yield _grouped(held, keys)
 
 
+def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """One batch per group; only groups that span several batches are copied. Input is sorted by `keys`."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        edge = np.append(np.flatnonzero(_changes(batch, keys, held[-1] if held else None)), batch.num_rows).tolist()
+        if held and edge[0]:
+            held.append(batch.slice(0, edge[0]))
+        for a, b in zip(edge[:-1], edge[1:], strict=True):
+            if held:
+                yield _joined(held)
+            held = [batch.slice(a, b - a)]
+    if held:
+        yield _joined(held)
+
+
+def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+
+
 def _grouped(parts: list[pa.RecordBatch], keys: list[str]) -> tuple[pa.RecordBatch, np.ndarray]:
-    batch = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+    batch = _joined(parts)
     return batch, np.append(np.flatnonzero(_changes(batch, keys, None)), batch.num_rows)
 
 

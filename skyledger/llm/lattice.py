@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm import texts
-from skyledger.llm.groups import whole_groups
+from skyledger.llm.groups import groups
 from skyledger.llm.language import segment_sums
 from skyledger.llm.staging import id_hash_mod, inputs, staged
 
@@ -249,25 +249,23 @@ def _met(chunks: DataFrame) -> DataFrame:
     """One row per bucket: distinct words, their learning counts, and each chunk's places among them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, bounds in whole_groups(batches, ["bucket"]):
-            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                parts = batch.slice(a, b - a)
-                found = texts.words(texts.text_bytes(parts.column("words")), lower=False)
-                distinct, at, place = np.unique(found.hashes(), return_index=True, return_inverse=True)
-                counts = np.bincount(place, np.frombuffer(b"".join(parts.column("data").to_pylist()), "<i8"), len(distinct)).astype("<i8")
-                words = b" ".join(found.data[s:e].tobytes() for s, e in zip(found.starts[at].tolist(), found.ends[at].tolist(), strict=True))
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "bucket": parts.column("bucket").slice(0, 1),
-                        "words": pa.array([words], pa.binary()),
-                        "counts": pa.array([counts.tobytes()], pa.binary()),
-                        "chunks": pa.array([parts.column("chunk").to_numpy().astype("<i8").tobytes()], pa.binary()),
-                        "firsts": pa.array([found.first.astype("<i8").tobytes()], pa.binary()),
-                        "places": pa.array([place.astype("<i4").tobytes()], pa.binary()),
-                        "known": pa.array([int((counts > 0).sum())], pa.int64()),
-                        "total": pa.array([int(counts.sum())], pa.int64()),
-                    }
-                )
+        for parts in groups(batches, ["bucket"]):
+            found = texts.words(texts.text_bytes(parts.column("words")), lower=False)
+            distinct, at, place = np.unique(found.hashes(), return_index=True, return_inverse=True)
+            counts = np.bincount(place, np.frombuffer(b"".join(parts.column("data").to_pylist()), "<i8"), len(distinct)).astype("<i8")
+            words = b" ".join(found.data[s:e].tobytes() for s, e in zip(found.starts[at].tolist(), found.ends[at].tolist(), strict=True))
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "bucket": parts.column("bucket").slice(0, 1),
+                    "words": pa.array([words], pa.binary()),
+                    "counts": pa.array([counts.tobytes()], pa.binary()),
+                    "chunks": pa.array([parts.column("chunk").to_numpy().astype("<i8").tobytes()], pa.binary()),
+                    "firsts": pa.array([found.first.astype("<i8").tobytes()], pa.binary()),
+                    "places": pa.array([place.astype("<i4").tobytes()], pa.binary()),
+                    "known": pa.array([int((counts > 0).sum())], pa.int64()),
+                    "total": pa.array([int(counts.sum())], pa.int64()),
+                }
+            )
 
     rows = chunks.where("bucket >= 0").select("bucket", "chunk", "words", "data")
     return rows.repartition("bucket").sortWithinPartitions("bucket", "chunk").mapInArrow(
@@ -348,9 +346,8 @@ def scores(docs: DataFrame, learn: Column, path: str, id_col: str = "doc_id", te
     scale = math.log10(tokens + 0.5 * (distinct + 1))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, bounds in whole_groups(batches, ["chunk"]):
-            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                yield _scored(batch.slice(a, b - a), ends, tokens, scale, end)
+        for group in groups(batches, ["chunk"]):
+            yield _scored(group, ends, tokens, scale, end)
 
     back = vocabulary.select("bucket", "words", "counts", "chunks", "firsts", "places").mapInArrow(answer, "chunk bigint, bucket int, data binary, ids binary")
     both = chunks.where("bucket < 0").select("chunk", "bucket", "data", "ids").unionByName(back)

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm import texts
-from skyledger.llm.groups import whole_groups
+from skyledger.llm.groups import groups
 from skyledger.llm.staging import inputs, staged
 
 WINDOW = 20
@@ -41,7 +41,7 @@ LEVELS = 3
 RADIUS = 2 ** (LEVELS - 1)
 #: Places that a window can take its key from.
 SPAN = WINDOW - 2 * RADIUS + 1
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 #: Characters of text per bucket of keys or windows.
 BUCKET_CHARS = 8_000_000
 _NO_ID = np.iinfo(np.int64).max
@@ -148,11 +148,9 @@ def _in_buckets(rows: DataFrame, answer) -> DataFrame:
     """Applies `answer(blobs) -> blobs` to the rows of each bucket and sends the answers to their chunks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, bounds in whole_groups(batches, ["bucket"]):
-            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                part = batch.slice(a, b - a)
-                data = [x.as_buffer() for x in part.column("data")]
-                yield pa.RecordBatch.from_arrays([part.column("chunk"), part.column("bucket"), pa.array(answer(data), pa.binary()), pa.nulls(b - a, pa.binary())], schema=_FIELDS)
+        for part in groups(batches, ["bucket"]):
+            data = [x.as_buffer() for x in part.column("data")]
+            yield pa.RecordBatch.from_arrays([part.column("chunk"), part.column("bucket"), pa.array(answer(data), pa.binary()), pa.nulls(part.num_rows, pa.binary())], schema=_FIELDS)
 
     rows = rows.where("bucket >= 0").select("chunk", "bucket", "data")
     return rows.repartition("bucket").sortWithinPartitions("bucket", "chunk").mapInArrow(run, _SCHEMA)
@@ -233,10 +231,8 @@ class _Texts:
 
 
 def _chunks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple[int, bytes, bytes]]]]:
-    for batch, bounds in whole_groups(batches, ["chunk"]):
-        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-            part = batch.slice(a, b - a)
-            yield part.column("chunk")[0].as_py(), list(zip(part.column("bucket").to_pylist(), part.column("data").to_pylist(), part.column("more").to_pylist(), strict=True))
+    for part in groups(batches, ["chunk"]):
+        yield part.column("chunk")[0].as_py(), list(zip(part.column("bucket").to_pylist(), part.column("data").to_pylist(), part.column("more").to_pylist(), strict=True))
 
 
 def _bits(answers: list[tuple[int, bytes, bytes]], counts: list[int]) -> np.ndarray:

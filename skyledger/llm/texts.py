@@ -71,17 +71,18 @@ class Words:
     first: np.ndarray
     text_start: np.ndarray
 
-    def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word's bytes."""
-        if not len(self.starts):
-            return np.empty(0, np.uint64)
-        lengths = self.ends - self.starts
-        total = int(lengths.sum())
-        begin = np.cumsum(lengths) - lengths
-        within = np.arange(total) - np.repeat(begin, lengths)
-        power = np.cumprod(np.full(int(lengths.max()), _BASE, np.uint64))
-        values = _CODES[self.data[within + np.repeat(self.starts, lengths)]] * power[within]
-        return mix(np.add.reduceat(values, begin) ^ lengths.astype(np.uint64))
+    def hashes(self, block: int = 1 << 15) -> np.ndarray:
+        """A 64-bit hash of each word's bytes; `block` words at a time bound the memory."""
+        out = np.empty(len(self.starts), np.uint64)
+        for a in range(0, len(out), block):
+            starts = self.starts[a : a + block]
+            lengths = self.ends[a : a + block] - starts
+            begin = np.cumsum(lengths) - lengths
+            within = np.arange(int(lengths.sum())) - np.repeat(begin, lengths)
+            power = np.cumprod(np.full(int(lengths.max()), _BASE, np.uint64))
+            values = _CODES[self.data[within + np.repeat(starts, lengths)]] * power[within]
+            out[a : a + block] = np.add.reduceat(values, begin) ^ lengths.astype(np.uint64)
+        return mix(out)
 
     def text_of(self) -> np.ndarray:
         """The text's number for each word."""
