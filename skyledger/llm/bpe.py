@@ -19,7 +19,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
@@ -75,31 +75,62 @@ class Vocabulary:
 
 
 def _padded(rows: list[list[int]], fill: int = -1) -> np.ndarray:
-    out = np.full((len(rows), max(map(len, rows), default=0)), fill, np.int64)
+    out = np.full((len(rows), max(map(len, rows), default=0)), fill, np.int32)
     for i, row in enumerate(rows):
         out[i, : len(row)] = row
     return out
 
 
-@dataclass
+def _intervals(parent: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers that tell whether one state was copied, over any steps, from another."""
+    children: list[list[int]] = [[] for _ in parent]
+    for s in range(1, len(parent)):
+        children[parent[s]].append(s)
+    enter, leave = np.zeros(len(parent), np.int32), np.zeros(len(parent), np.int32)
+    clock, todo = 0, [(0, False)]
+    while todo:
+        s, done = todo.pop()
+        if done:
+            leave[s] = clock
+            continue
+        enter[s] = clock
+        clock += 1
+        todo.append((s, True))
+        todo.extend((c, False) for c in children[s])
+    return enter, leave
+
+
+def _trie(vocabulary: Vocabulary, reached: set[int]) -> tuple[dict[int, int], list[int]]:
+    """Nodes by parent and byte, and the token at each node; only tokens that merges can make."""
+    special = set(vocabulary.special.values())
+    trie: dict[int, int] = {}
+    token_at = [-1]
+    for t, label in enumerate(vocabulary.labels):
+        if t in special or not label or (len(label) > 1 and t not in reached):
+            continue
+        node = 0
+        for byte in label:
+            key = node << 8 | byte
+            if key not in trie:
+                trie[key] = len(token_at)
+                token_at.append(-1)
+            node = trie[key]
+        token_at[node] = t
+    return trie, token_at
+
+
 class Automaton:
-    vocabulary: Vocabulary
-    target: list[int] = field(default_factory=list)
-    blocked_after: list[list[int]] = field(default_factory=list)
-    enter: list[int] = field(default_factory=list)
-    leave: list[int] = field(default_factory=list)
-    rank: dict[tuple[int, int], int] = field(default_factory=dict)
-    spine: dict[int, list[tuple[int, int]]] = field(default_factory=dict)
-    trie: dict[int, int] = field(default_factory=dict)
-    token_at: list[int] = field(default_factory=list)
-    edges: dict[tuple[int, int], int] = field(default_factory=dict)
+    """The states and edges as arrays.
 
-    @classmethod
-    def build(cls, vocabulary: Vocabulary) -> Automaton:
-        self = cls(vocabulary)
+    State 0 is the start; state k + 1 is the gadget of merge k. `target` has the state behind
+    each token, `lefts` the tokens whose gadgets lie between a state and the start, `parts` the
+    left parts of each token (itself, its left half, that one's left half, ...), `befores` the
+    rank up to which a block of that part counts.
+    """
+
+    def __init__(self, vocabulary: Vocabulary):
         merges, n = vocabulary.merges, len(vocabulary.labels)
-        target = [0] * n
-        parent, left_of = [-1], [-1]
+        target, parent, left_of = [0] * n, [-1], [-1]
         made: dict[int, tuple[int, int]] = {}
         for k, (a, b, c) in enumerate(merges):
             # The gadget of this merge: state k + 1 is a's target without b.
@@ -107,46 +138,36 @@ class Automaton:
             parent.append(target[a])
             left_of.append(a)
             target[a] = k + 1
-            self.rank[a, b] = k
             made[c] = (a, k)
-        self.target = target
-        # Left parts of each token, with the rank before which a block of the part counts.
+        parts, befores = [], []
         for t in range(n):
-            parts, at, before = [], t, len(merges)
-            while True:
-                parts.append((at, before))
-                if at not in made:
-                    break
+            own, at, before = [(t, len(merges))], t, 0
+            while at in made:
                 at, before = made[at]
-            self.spine[t] = parts
-        # Which tokens' gadgets lie on the way from a state up to the start.
-        self.blocked_after = [[]]
+                own.append((at, before))
+            parts.append([t for t, _ in own])
+            befores.append([k for _, k in own])
+        between: list[list[int]] = [[]]
         for s in range(1, len(parent)):
-            above = self.blocked_after[parent[s]]
-            self.blocked_after.append(above if left_of[s] in above else [*above, left_of[s]])
-        self._intervals(parent)
-        self._make_trie()
-        self._make_tables()
-        return self
-
-    def _make_tables(self) -> None:
-        """The same automaton as arrays, for many words at once."""
-        numbers = lambda items: np.fromiter(items, np.int64)
-        self.size = len(self.vocabulary.labels)
-        self.label_sizes = numbers(map(len, self.vocabulary.labels))
-        self.trie_table = Lookup(numbers(self.trie.keys()), numbers(self.trie.values()))
-        self.rank_table = Lookup(numbers(a * self.size + b for a, b in self.rank), numbers(self.rank.values()))
-        self.tokens, self.targets = np.array(self.token_at), np.array(self.target)
-        self.enters, self.leaves = np.array(self.enter), np.array(self.leave)
-        self.lefts = _padded(self.blocked_after)
-        self.parts = _padded([[t for t, _ in self.spine[i]] for i in range(self.size)])
-        self.befores = _padded([[k for _, k in self.spine[i]] for i in range(self.size)])
+            above = between[parent[s]]
+            between.append(above if left_of[s] in above else [*above, left_of[s]])
+        self.labels = vocabulary.labels
+        self.size = n
+        self.label_sizes = np.fromiter(map(len, self.labels), np.int64, n)
+        self.targets = np.array(target, np.int32)
+        self.enters, self.leaves = _intervals(parent)
+        self.lefts, self.parts, self.befores = _padded(between), _padded(parts), _padded(befores)
+        pairs = np.array([a * n + b for a, b, _ in merges], np.int64)
+        self.rank_table = Lookup(pairs, np.arange(len(merges)))
+        trie, token_at = _trie(vocabulary, {m[2] for m in merges})
+        self.trie_table = Lookup(np.fromiter(trie, np.int64, len(trie)), np.fromiter(trie.values(), np.int64, len(trie)))
+        self.tokens = np.array(token_at, np.int32)
 
     def passes(self, states: np.ndarray, tokens: np.ndarray) -> np.ndarray:
         """Whether each state has an edge for its token."""
         ok = np.ones(len(states), bool)
         for i in range(self.lefts.shape[1]):
-            left = self.lefts[states, i]
+            left = self.lefts[states, i].astype(np.int64)
             some = np.flatnonzero((left >= 0) & ok)
             for j in range(self.parts.shape[1]):
                 part = self.parts[tokens[some], j]
@@ -172,7 +193,7 @@ class Automaton:
         last = np.full((len(words), width + 1), -1, np.int32)
         for start in range(width):
             alive = np.arange(np.searchsorted(-sizes, -start, side="left"))
-            state = self.targets[last[alive, start]] if start else np.zeros(len(alive), np.int64)
+            state = self.targets[last[alive, start]] if start else np.zeros(len(alive), np.int32)
             node = np.zeros(len(alive), np.int64)
             for end in range(start, width):
                 longer = sizes[alive] > end
@@ -234,41 +255,45 @@ class Automaton:
                 node = self.trie[key]
             self.token_at[node] = t
 
-    def step(self, state: int, token: int) -> int:
-        """The state after `token`, or -1 if it may not follow."""
-        after = self.target[token]
-        here = self.enter[state]
-        for left in self.blocked_after[state]:
-            for part, before in self.spine[token]:
-                k = self.rank.get((left, part))
-                if k is not None and k <= before and self.enter[k + 1] <= here < self.leave[k + 1]:
-                    after = -1
-        self.edges[state, token] = after
-        return after
-
-    def encode(self, word: bytes) -> list[int]:
-        """Ids of one pre-split word."""
+    def encode_long(self, word: bytes) -> bytes:
+        """The same for one long word, whose edges are looked up where they are met."""
         n = len(word)
-        last, state = [-1] * (n + 1), [0] * (n + 1)
-        trie, token_at, edges = self.trie, self.token_at, self.edges
+        last = np.full(n + 1, -1, np.int64)
+        node, place = np.zeros(n, np.int64), np.arange(n)
+        letters = np.frombuffer(word, np.uint8)
+        # All tokens that lie in the word: (start, end, token), found for all starts at once.
+        found = []
+        for size in range(n):
+            inside = place + size < n
+            place, node = place[inside], node[inside]
+            node = self.trie_table(node << 8 | letters[place + size])
+            place, node = place[node >= 0], node[node >= 0].astype(np.int64)
+            if not len(place):
+                break
+            some = self.tokens[node] >= 0
+            found.append(np.stack([place[some], place[some] + size + 1, self.tokens[node[some]]]))
+        starts, ends, tokens = np.concatenate(found, axis=1)
+        order = np.argsort(starts, kind="stable")
+        ends, tokens = ends[order].tolist(), tokens[order].tolist()
+        bounds = np.searchsorted(starts[order], np.arange(n + 1)).tolist()
+        edges: dict[tuple[int, int], bool] = {}
         for start in range(n):
-            here, node = state[start], 0
-            for end in range(start, n):
-                node = trie.get(node << 8 | word[end])
-                if node is None:
-                    break
-                token = token_at[node]
-                if token >= 0 and last[end + 1] < 0:
-                    after = self.target[token] if not start else edges.get((here, token))
-                    if after is None:
-                        after = self.step(here, token)
-                    if after >= 0:
-                        last[end + 1], state[end + 1] = token, after
+            before = int(last[start])
+            for i in range(bounds[start], bounds[start + 1]):
+                if last[ends[i]] >= 0:
+                    continue
+                if start:
+                    edge = before, tokens[i]
+                    if edge not in edges:
+                        edges[edge] = bool(self.passes(self.targets[[before]], np.array([tokens[i]]))[0])
+                    if not edges[edge]:
+                        continue
+                last[ends[i]] = tokens[i]
         out, at = [], n
         while at:
             out.append(last[at])
-            at -= len(self.vocabulary.labels[last[at]])
-        return out[::-1]
+            at -= self.label_sizes[last[at]]
+        return np.array(out[::-1], "<u4").tobytes()
 
 
 class Memory:
@@ -294,7 +319,7 @@ class Memory:
         long = missing.difference(short)
         if not long:
             return recent
-        return recent | {w: np.array(self.automaton.encode(w.encode()), "<u4").tobytes() for w in long}
+        return recent | {w: self.automaton.encode_long(w.encode()) for w in long}
 
 
 class Coder:
@@ -303,7 +328,7 @@ class Coder:
     def __init__(self, vocabulary: Vocabulary):
         self.labels = vocabulary.labels
         self.special = vocabulary.special
-        self.memory = Memory(Automaton.build(vocabulary))
+        self.memory = Memory(Automaton(vocabulary))
         self.split = regex.compile(PATTERN).findall
         names = sorted(self.special, key=len, reverse=True)
         self.cut = regex.compile("|".join(map(regex.escape, names))) if names else None
@@ -331,15 +356,9 @@ class Coder:
         return data.decode("utf-8", "replace").encode()
 
 
-_coders: dict[str, Coder] = {}
-
-
 def coder(key: str, vocabulary: Vocabulary) -> Coder:
     """One coder per Python worker and vocabulary."""
-    if key not in _coders:
-        _coders.clear()
-        _coders[key] = Coder(vocabulary)
-    return _coders[key]
+    return texts.kept(f"bpe {key}", lambda: Coder(vocabulary))
 
 
 def encoded(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "token_ids") -> DataFrame:

@@ -214,16 +214,11 @@ def shards(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text"
     return [(uuid.uuid4().hex, spark.sparkContext.broadcast(bytes(row.blob))) for row in built.toLocalIterator()]
 
 
-_loaded: dict[str, Shard | None] = {}
-
-
 def _load(blobs: list[tuple[str, Broadcast]]) -> Iterator[Shard]:
     for key, blob in blobs:
-        if key not in _loaded:  # one automaton stays in memory
-            _loaded.clear()
-            _loaded[key] = pickle.loads(zlib.decompress(blob.value))
-        if _loaded[key] is not None:
-            yield _loaded[key]
+        shard = texts.kept(f"shard {key}", lambda blob=blob: pickle.loads(zlib.decompress(blob.value)))
+        if shard is not None:
+            yield shard
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ posterior, ties to the smaller name, and its probability as the score. Texts are
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,6 +38,8 @@ SAMPLE_ROWS = 4000
 #: The most frequent languages that are learned.
 MAX_LANGUAGES = 100
 SMOOTHING = 0.5
+#: Text scored at once; each character is several numbers here.
+CHUNK_BYTES = 1 << 19
 #: `kept` rejects documents whose best language is less probable; chance alone gives 1 / languages.
 LEAST = 0.3
 
@@ -135,7 +138,8 @@ def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[int, np.ndarray] = {}
-        for batch in texts.chunks(batches, "text"):
+        texts.kept("language counts", dict)
+        for batch in texts.chunks(batches, "text", CHUNK_BYTES):
             names = np.array([number[x] for x in batch.column("lang").to_pylist()])
             column = batch.column("text").to_pylist()
             for lang in np.unique(names).tolist():
@@ -163,14 +167,16 @@ def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
 def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns `keep` (all by default), then lang_pred and score."""
     broadcast = docs.sparkSession.sparkContext.broadcast(model)
+    key = uuid.uuid4().hex
     names = keep or [c for c in docs.columns if c not in ("lang_pred", "score")]
     schema = docs.select(*names).schema.add("lang_pred", StringType()).add("score", DoubleType())
     # Neutral names inside, so that columns cannot clash.
     rows = docs.select(*(docs[c].alias(f"c{i}") for i, c in enumerate(names)), docs[text_col].alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in texts.chunks(batches, "text"):
-            langs, scores = broadcast.value.score(batch.column("text").to_pylist())
+        held = texts.kept(key, lambda: broadcast.value)
+        for batch in texts.chunks(batches, "text", CHUNK_BYTES):
+            langs, scores = held.score(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(langs, pa.string()), pa.array(scores)], [*names, "lang_pred", "score"])
 
     return rows.mapInArrow(run, schema)
@@ -187,10 +193,12 @@ def report(docs: DataFrame) -> DataFrame:
 def kept(docs: DataFrame, model: Model, text_col: str = "text", least: float = LEAST) -> DataFrame:
     """The rows, with all their columns, whose language is known with a probability of `least` or more."""
     broadcast = docs.sparkSession.sparkContext.broadcast(model)
+    key = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in texts.chunks(batches, text_col):
-            langs, scores = broadcast.value.score(batch.column(text_col).to_pylist())
+        held = texts.kept(key, lambda: broadcast.value)
+        for batch in texts.chunks(batches, text_col, CHUNK_BYTES):
+            langs, scores = held.score(batch.column(text_col).to_pylist())
             yield batch.filter(pa.array((np.array(langs) != UNKNOWN) & (scores >= least)))
 
     return docs.mapInArrow(run, docs.schema)

@@ -273,15 +273,9 @@ def _met(chunks: DataFrame) -> DataFrame:
     )
 
 
-_lattices: dict[str, Lattice] = {}
-
-
 def _lattice(key: str, pieces: Pieces) -> Lattice:
     """One lattice per Python worker and vocabulary."""
-    if key not in _lattices:
-        _lattices.clear()
-        _lattices[key] = Lattice(pieces)
-    return _lattices[key]
+    return texts.kept(f"lattice {key}", lambda: Lattice(pieces))
 
 
 def _expected(vocabulary: DataFrame, key: str, pieces: Pieces, weights: np.ndarray) -> np.ndarray:

@@ -17,6 +17,7 @@ with different labels all count. Texts are read whole.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -242,14 +243,16 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, label_col: str = "q
 def scored(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns `keep` (all by default), then score and predicted."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    key = uuid.uuid4().hex
     names = keep or [c for c in docs.columns if c not in ("score", "predicted")]
     schema = docs.select(*names).schema.add("score", DoubleType()).add("predicted", IntegerType())
     # Neutral names inside, so that columns cannot clash.
     rows = docs.select(*(docs[c].alias(f"c{i}") for i, c in enumerate(names)), docs[text_col].alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = texts.kept(key, lambda: shared.value)
         for batch in texts.chunks(batches, "text"):
-            score = shared.value.network.score(shared.value.words.pooled(texts.text_bytes(batch.column("text"))))
+            score = held.network.score(held.words.pooled(texts.text_bytes(batch.column("text"))))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(score), pa.array((score >= THRESHOLD).astype(np.int32))], [*names, "score", "predicted"])
 
     return rows.mapInArrow(run, schema)

@@ -5,14 +5,14 @@ All helpers run inside tasks on one chunk of a few MB. A null text is an empty o
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 
 #: Bytes of text worked on at once; a longer text is a chunk of its own.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -61,6 +61,17 @@ def chunks(batches: Iterable[pa.RecordBatch], column: str, limit: int = CHUNK_BY
             yield batch.slice(a, b - a)
 
 
+_kept: dict[str, object] = {}
+
+
+def kept(key: str, build: Callable[[], object]):
+    """What one operator keeps in a Python worker between tasks; the next operator's takes its place."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = build()
+    return _kept[key]
+
+
 @dataclass
 class Words:
     """Words of several texts in one byte array; words of text i are `first[i]:first[i + 1]`."""
