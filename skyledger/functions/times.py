@@ -18,7 +18,7 @@ _MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 
 
 # Names of the zone files that stand for no zone in the JVM.
-_NOT_IN_JVM = ("Factory", "localtime")
+_NOT_IN_JVM = ("Factory", "GMT+0", "GMT-0", "ROC", "localtime")
 
 
 def known_zone(name: str) -> Column:
@@ -51,10 +51,29 @@ def _as_iso(s: Column) -> Column:
         (r"^(\d{4}-\d{2}-\d{2})[T ]?(\d{2})(\d{2})(\d{2})$", "$1 $2:$3:$4"),
         (r"^(\d{4}-\d{2}-\d{2})[T ]?(\d{2})(\d{2})$", "$1 $2:$3"),
         (r"^([\d-]+),?\s+(?=\d)", "$1 "),
+        (r"(\d:\d\d),(\d+)$", "$1.$2"),
         (_HALF_DAY, ""),
     ):
         x = F.regexp_replace(x, pattern, iso)
-    return x
+    return F.coalesce(_from_day_or_week(x), x)
+
+
+def _from_day_or_week(x: Column) -> Column:
+    """ISO ordinal dates (2024-015) and week dates (2024-W03-1) as calendar dates; else null."""
+
+    def part(pattern: str, group: int) -> Column:
+        return F.nullif(F.regexp_extract(x, pattern, group), F.lit(""))
+
+    ordinal, week = r"^(\d{4})-(\d{3})(?!\d)(.*)$", r"^(\d{4})-?W(\d\d)(?:-?([1-7]))?(.*)$"
+    new_year = F.concat(part(ordinal, 1), F.lit("-01-01")).try_cast("date")
+    day = F.date_add(new_year, part(ordinal, 2).try_cast("int") - 1)
+    # The fourth of January is in the first week.
+    fourth = F.concat(part(week, 1), F.lit("-01-04")).try_cast("date")
+    weekday = F.coalesce(part(week, 3).try_cast("int"), F.lit(1))
+    in_week = F.date_add(fourth, -F.weekday(fourth) + (part(week, 2).try_cast("int") - 1) * 7 + weekday - 1)
+    return F.when(x.rlike(ordinal), F.concat(day.cast("string"), F.regexp_extract(x, ordinal, 3))).when(
+        x.rlike(week), F.concat(in_week.cast("string"), F.regexp_extract(x, week, 4))
+    )
 
 
 def _half_day_shift(s: Column) -> Column:
@@ -92,7 +111,7 @@ def _is_iso(body: Column) -> Column:
     return (
         (F.substring(body, 5, 1) == "-")
         & (F.length(body) >= 8)
-        & ~body.rlike(r"[^0-9\-:.T ]")
+        & ~body.rlike(r"[^0-9\-:.T ]|^\d{4}-\d{3}(?!\d)")
         & (F.instr(F.substring(body, 11, 32), "-") == 0)
     )
 

@@ -60,7 +60,7 @@ def raw_from_cells(df: DataFrame) -> DataFrame:
 
     The header decides where each target column is; a short row gives null, of repeated
     headers the first filled one counts. A scan may bring the targets of its headers along
-    in `_targets`.
+    in `_targets`. Unknown columns and links go to `extra`, a JSON list of column, value, link.
     """
     targets = F.transform("header", header_target)
     placed = df if "_targets" in df.columns else df.withColumn("_targets", targets)
@@ -70,7 +70,21 @@ def raw_from_cells(df: DataFrame) -> DataFrame:
         return F.get(F.filter(at, lambda v: F.coalesce(strip(v), F.lit("")) != ""), F.lit(0))
 
     sources = [c for c in df.columns if c.startswith("_") and c != "_targets"]
-    return placed.select(*[strip(cell(t)).alias(t) for t in RAW_COLUMNS], *sources)
+    return placed.select(*[strip(cell(t)).alias(t) for t in RAW_COLUMNS], _others().alias("extra"), *sources)
+
+
+def _others() -> Column:
+    """Cells under unknown headers, and links of all cells, as JSON; null if there are none."""
+    cells = F.transform(
+        "cells",
+        lambda value, i: F.struct(
+            F.get("header", i).alias("column"),
+            F.when(F.get("_targets", i).isNull(), F.nullif(strip(value), F.lit(""))).alias("value"),
+            F.get("links", i).alias("link"),
+        ),
+    )
+    some = F.filter(cells, lambda c: c["value"].isNotNull() | c["link"].isNotNull())
+    return F.when(F.size(some) > 0, F.to_json(some))
 
 
 def sanitize(df: DataFrame, limit: int = 10) -> DataFrame:

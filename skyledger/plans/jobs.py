@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 from datetime import UTC, datetime
@@ -22,7 +23,7 @@ from ..operators.normalize import (
 from ..sources.canonical import read_flights
 from ..sources.regions import read_features, region_table
 from ..sources.registry import checksums, list_files, load_flights
-from .staging import staged
+from .staging import staged, temporary
 
 
 def _now() -> datetime:
@@ -40,6 +41,19 @@ def _batch_checksum(sums: DataFrame) -> str:
     return first if n == 1 else digest.hexdigest()
 
 
+def _tidy(job):
+    """Scratch tables of a job go when it ends; a dry run returns plans on them, so it keeps them."""
+
+    @functools.wraps(job)
+    def run(spark: SparkSession, *args, **kwargs):
+        if kwargs.get("dry_run"):
+            return job(spark, *args, **kwargs)
+        with temporary(spark):
+            return job(spark, *args, **kwargs)
+
+    return run
+
+
 def _event(spark: SparkSession, root: str, name: str, version: str, **payload) -> None:
     """One row of the log of finished stages."""
     row = spark.range(1).select(
@@ -52,6 +66,7 @@ def _event(spark: SparkSession, root: str, name: str, version: str, **payload) -
     sinks.append(row, f"{root}/events_log")
 
 
+@_tidy
 def ingest(
     spark: SparkSession,
     paths: str | list[str],
@@ -105,9 +120,10 @@ def ingest(
     )
     row = counters.first()
     _event(spark, root, "dataset.ingested", version, records=row.normalized, rejected=row.invalid)
-    return flights, counters
+    return read_flights(spark, tables["flights"], version), spark.createDataFrame([row], counters.schema)
 
 
+@_tidy
 def validate(
     spark: SparkSession,
     root: str,
@@ -140,7 +156,7 @@ def validate(
     )
     sinks.append(done, f"{root}/dataset_version")
     _event(spark, root, "dataset.validated", version, status=row.quality_status)
-    return report, summary
+    return sinks.read_version(spark, f"{root}/quality_report", version), spark.createDataFrame([row], summary.schema)
 
 
 def build_aggregates(spark: SparkSession, root: str, version: str, year: int | None = None) -> DataFrame:
@@ -153,13 +169,14 @@ def build_aggregates(spark: SparkSession, root: str, version: str, year: int | N
     return years
 
 
+@_tidy
 def build_geo(spark: SparkSession, root: str, version: str, degrees: float = 1.0) -> DataFrame:
     """The geo table of a stored version, from the stored region directory."""
     flights = quality.counted_flights(read_flights(spark, f"{root}/flights", version))
     cells = staged(geo.region_cells(spark.read.parquet(f"{root}/regions"), degrees), "cells")
     table = geo.flights_geo(geo.assign_regions(flights, cells, degrees), version)
     sinks.write_version(table.drop("dataset_version"), f"{root}/flights_geo", version)
-    return table
+    return spark.read.parquet(f"{root}/flights_geo").where(F.col("dataset_version") == version)
 
 
 def build_insights(spark: SparkSession, root: str, version: str) -> DataFrame:

@@ -10,6 +10,8 @@ import functools
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,7 +32,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = _local_folder()
-    return f"{base.rstrip('/')}/skyledger/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/skyledger/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def temporary(spark: SparkSession, keep: list[str] | None = None) -> Iterator[None]:
+    """Deletes the scratch folders made inside when the block ends, but those in `keep`."""
+    made: list[str] = []
+    _scopes.append(made)
+    try:
+        yield
+    finally:
+        _scopes.remove(made)
+        for path in made:
+            if path not in (keep or ()):
+                place = spark._jvm.org.apache.hadoop.fs.Path(path)
+                place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

@@ -122,3 +122,27 @@ def test_insights_and_drilldown(spark):
     assert text[2023].insight.startswith("Flights: no previous year")
     assert text[2024].source_keys == "aggregates_year/A/2024" and "flights_count" in text[2024].formula
     assert insights.drilldown(years.where("year = 2024"), df).count() == 2
+
+
+def test_version_difference_compares_multisets(spark):
+    day = datetime(2024, 1, 1)
+    a1, b1 = flight(1, day, 10.0), flight(1, day, 20.0)
+    assert [r.change for r in versions.version_diff(flights(spark, [a1, a1, b1]), flights(spark, [a1, b1, b1])).collect()] == ["changed"]
+    assert [r.change for r in versions.version_diff(flights(spark, [a1, b1, a1]), flights(spark, [b1, a1, a1])).collect()] == ["unchanged"]
+    rows = versions.row_difference(flights(spark, [a1, a1, b1]), flights(spark, [b1, b1, b1])).collect()
+    assert sorted((r.side, r.duration_minutes) for r in rows) == [("new", 20.0), ("new", 20.0), ("old", 10.0), ("old", 10.0)]
+
+
+def test_null_region_has_pages_and_insights(spark):
+    rows = [flight(i, datetime(2023 + i % 2, 1 + i % 3, 1), 30.0, region) for i, region in enumerate([None, "A", None, None, "B", None])]
+    metrics = metric_rows(flights(spark, rows))
+    years = a.aggregates_year(metrics)
+    everything = [(r.region_code, r.year) for r in a.stats_page(years).collect()]
+    assert everything[0][0] is None and len(everything) == years.count()
+    for i, key in enumerate(everything):
+        page = a.stats_page(years, after=key, size=2).collect()
+        assert [(r.region_code, r.year) for r in page] == everything[i + 1 : i + 3]
+    facts = insights.region_facts(years, a.peak_month(a.aggregates_month(metrics, by_vehicle=False)))
+    assert all(r.insight for r in insights.insights(facts).collect())
+    with pytest.raises(ValueError, match="vehicle"):
+        a.peak_month(a.aggregates_month(metrics))

@@ -28,6 +28,10 @@ TIMES = {
     "January 5, 2024": "2024-01-05 00:00:00",
     "2024/01/15 7:05": "2024-01-15 07:05:00",
     "202401150645": "2024-01-15 06:45:00",
+    "2024-015": "2024-01-15 00:00:00",
+    "2024-W03-1": "2024-01-15 00:00:00",
+    "2020W537T10:00": "2021-01-03 10:00:00",
+    "2024-01-01T10:00:00,5Z": "2024-01-01 10:00:00.5",
     "2024": None,
     "2024-01": None,
     "12:30": None,
@@ -47,7 +51,7 @@ def test_times_do_not_depend_on_the_session_zone(spark, any_zone):
 
 
 def test_zone_of_the_file(spark, any_zone):
-    rows = [("Europe/Moscow", "09:00"), ("+05:30", "06:30"), ("Mars/Base", "12:00"), (None, "12:00")]
+    rows = [("Europe/Moscow", "09:00"), ("+05:30", "06:30"), ("Japan", "03:00"), ("Turkey", "09:00"), ("EST5EDT", "17:00"), ("Mars/Base", "12:00"), (None, "12:00")]
     df = spark.createDataFrame([(z, "2024-01-01 12:00") for z, _ in rows], "z string, t string")
     zone = F.coalesce(known_zone("z"), F.lit("UTC"))
     got = df.select("z", parse_utc(F.col("t"), zone).cast("string").alias("u")).collect()
@@ -122,3 +126,17 @@ def test_quantiles_of_few_or_no_values(spark):
     assert iqr_fence(one, "v").first().asDict() == {"q1": 5.0, "q3": 5.0, "lower": 5.0, "upper": 5.0}
     none = spark.createDataFrame([(None,)], "v double")
     assert iqr_fence(none, "v").first().lower is None
+
+
+def test_numbers_are_finite(spark):
+    df = spark.createDataFrame([("1e400",), ("-1e400",), ("1,5",), ("1e3",)], "t string")
+    assert [r.n for r in df.select(to_number(F.col("t")).alias("n")).collect()] == [None, None, 1.5, 1000.0]
+
+
+def test_every_accepted_zone_is_known_to_the_jvm(spark):
+    from zoneinfo import available_timezones
+
+    zones = spark.createDataFrame([(z,) for z in available_timezones()], "z string")
+    local = F.lit("2024-01-01 12:00:00").cast("timestamp_ntz")
+    got = zones.select("z", F.convert_timezone(known_zone("z"), F.lit("UTC"), local).alias("t")).collect()
+    assert {r.z for r in got if r.t is None} <= {"Factory", "GMT+0", "GMT-0", "ROC", "localtime"}
