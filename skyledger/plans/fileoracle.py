@@ -94,6 +94,7 @@ ORACLE |= {
           WHERE month(start_time_utc) <> 6)
         SELECT 'monthly_completeness' AS check_name, CASE WHEN sum(g) > 0 THEN 'WARN' ELSE 'OK' END AS status,
           CAST(sum(g) AS BIGINT) AS violation_count FROM (SELECT max(m) - min(m) + 1 - count(*) AS g FROM seen GROUP BY y)""",
+    "incremental_files": f"WITH {_NORM} SELECT flight_id, start_time_utc, end_time_utc, superseded FROM norm",
     "quality_gate": f"""WITH {_NORM} SELECT flight_id, start_time_utc, CASE seq WHEN 0 THEN 'passed' ELSE 'held' END AS gate FROM norm""",
     "stage_events": f"""WITH {_NORM}, n AS (SELECT seq, count(*) AS records FROM norm GROUP BY seq)
         SELECT seq AS batch_id, e.event, records, e.status AS quality_status FROM n JOIN (VALUES

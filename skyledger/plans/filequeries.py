@@ -402,6 +402,20 @@ def _gated(spark: SparkSession, d: str) -> incremental.Tables:
     return tables
 
 
+@query
+def incremental_files(spark, d):
+    """Two deliveries of CSV files, the second with re-issues."""
+    root = scratch_path(spark, "files")
+    tables = incremental.Tables(f"{root}/tables")
+    reports = adapters.flight_reports(spark, d)
+    for seq in (0, 1):
+        part = reports.where(F.col("_row_ord.seq") == seq).drop("_row_ord")
+        part.write.mode("append").option("header", True).option("escape", '"').csv(f"{root}/landing/{seq}")
+        names = incremental.watch_files(spark, f"{root}/landing", "*.csv")
+        incremental.ingest_files(names, tables, f"{root}/checkpoint", [quality.SchemaCheck()]).awaitTermination()
+    return spark.read.parquet(tables.flights).select("flight_id", "start_time_utc", "end_time_utc", "superseded")
+
+
 @query
 def quality_gate(spark, d):
     """Rows that the gate let through and rows that it held back."""

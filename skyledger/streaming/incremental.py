@@ -13,6 +13,7 @@ from ..operators import aggregates, insights, quality
 from ..operators.normalize import flag_superseded, is_valid, metric_rows, type_rows
 from ..schema import CANONICAL
 from ..plans.staging import staged
+from ..sources.registry import load_flights
 
 
 @dataclass(frozen=True)
@@ -59,6 +60,13 @@ def watch(spark: SparkSession, path: str, schema: StructType, files_per_batch: i
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
+def watch_files(spark: SparkSession, path: str, pattern: str = "*", files_per_batch: int = 1000) -> DataFrame:
+    """Stream of the names of files of any known format as they arrive below a folder."""
+    schema = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
+    files = spark.readStream.format("binaryFile").schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    return files.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path).select("path")
+
+
 def _overwrite(df: DataFrame, path: str, *partitions: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
 
@@ -164,6 +172,25 @@ def refresh_insights(spark: SparkSession, tables: Tables) -> None:
     _overwrite(insights.insights(facts), tables.insights, "year")
 
 
+def ingest_files(
+    names: DataFrame, tables: Tables, checkpoint: str, checks: list[quality.Check] | None = None, hint: str | None = None
+) -> StreamingQuery:
+    """`ingest_stream` for files that `watch_files` names: each batch loads its files, whatever their format."""
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        # At most files_per_batch names.
+        paths = [r.path for r in batch.collect()]
+        rows = staged(load_flights(batch.sparkSession, paths, hint), "arrived")
+        process_batch(rows, batch_id, tables, checks)
+
+    return (
+        names.writeStream.foreachBatch(process)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def ingest_stream(
     source: DataFrame, tables: Tables, checkpoint: str, checks: list[quality.Check] | None = None
 ) -> StreamingQuery:

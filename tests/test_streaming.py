@@ -80,6 +80,21 @@ def test_failed_quality_stops_the_batch(spark, tmp_path):
     assert events == {"dataset.ingested": "OK", "dataset.validated": "FAIL"}
 
 
+def test_files_of_several_formats_arrive(spark, tmp_path):
+    landing = tmp_path / "in"
+    (landing / "a").mkdir(parents=True)
+    tables = incremental.Tables(str(tmp_path / "t"))
+    when = "2024-01-0{}T10:00:00Z,2024-01-0{}T11:00:00Z"
+    (landing / "a" / "x.csv").write_text(f"flight_id,start,end\nA,{when.format(1, 1)}\n")
+    (landing / "y.html").write_text("<table><tr><th>flight</th><th>start</th><th>end</th></tr><tr><td>B</td><td>2024-01-02</td><td>2024-01-03</td></tr></table>")
+    for _ in range(2):
+        names = incremental.watch_files(spark, str(landing))
+        incremental.ingest_files(names, tables, str(tmp_path / "cp"), CHECKS).awaitTermination()
+        (landing / "z.csv").write_text(f"flight_id,start,end\nA,2024-01-01T10:00:00Z,2024-01-01T12:00:00Z\n")
+    got = {(r.flight_id, r.end_time_utc.hour, r.superseded) for r in spark.read.parquet(tables.flights).collect()}
+    assert got == {("A", 11, True), ("A", 12, False), ("B", 0, False)}
+
+
 def test_batch_without_a_valid_row_is_on_record(spark, tmp_path):
     tables = incremental.Tables(str(tmp_path / "t"))
     incremental.process_batch(raw(spark, [{"flight_id": "bad"}]), 3, tables, CHECKS)
