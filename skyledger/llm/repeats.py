@@ -44,6 +44,8 @@ SPAN = WINDOW - 2 * RADIUS + 1
 CHUNK_BYTES = 2 << 20
 #: Characters of text per bucket of keys or windows.
 BUCKET_CHARS = 8_000_000
+#: Texts are written once and read twice, so they are worth the effort.
+_TEXT_CODEC = pa.Codec("zstd", compression_level=5)
 _NO_ID = np.iinfo(np.int64).max
 _LAST = np.uint64(0xFFFFFFFFFFFFFFFF)
 _FACTORS = texts.mix(np.arange(1, 2 * WINDOW + 1, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)) | np.uint64(1)
@@ -134,7 +136,7 @@ def _chunked(rows: DataFrame, buckets: int) -> DataFrame:
             sizes = np.fromiter(map(len, parts), np.int64, len(parts))
             ids = batch.column("id")
             head = np.concatenate([[len(parts), len(whole)], sizes, ids.is_valid().to_numpy(zero_copy_only=False), ids.fill_null(_NO_ID).to_numpy()]).astype("<i8")
-            found = [(chunk, _TEXTS, pa.compress(whole, codec="zstd", asbytes=True), head.tobytes())]
+            found = [(chunk, _TEXTS, _TEXT_CODEC.compress(whole, asbytes=True), head.tobytes())]
             keys = np.unique(windows(parts).keys)
             order, present, bounds = _by_bucket(keys, buckets)
             for b, x, y in zip(present.tolist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
@@ -179,9 +181,9 @@ _ENTRY = np.dtype([("a", "<u8"), ("b", "<u4"), ("id", "<i8"), ("at", "<u4")])
 
 
 def _packed(entries: np.ndarray) -> bytes:
-    """Entries by column, compressed."""
-    columns = b"".join(np.ascontiguousarray(entries[name]).tobytes() for name in _ENTRY.names)
-    return len(entries).to_bytes(8, "little") + pa.compress(columns, codec="zstd", asbytes=True)
+    """Entries by column and there by byte, so that like bytes lie together, compressed."""
+    columns = (np.ascontiguousarray(entries[name]).view(np.uint8).reshape(len(entries), -1).T.tobytes() for name in _ENTRY.names)
+    return len(entries).to_bytes(8, "little") + pa.compress(b"".join(columns), codec="zstd", asbytes=True)
 
 
 def _unpacked(blob: pa.Buffer) -> np.ndarray:
@@ -189,8 +191,10 @@ def _unpacked(blob: pa.Buffer) -> np.ndarray:
     columns = pa.decompress(blob[8:], n * _ENTRY.itemsize, codec="zstd", asbytes=True)
     out, at = np.empty(n, _ENTRY), 0
     for name in _ENTRY.names:
-        out[name] = np.frombuffer(columns, _ENTRY[name], n, at)
-        at += n * _ENTRY[name].itemsize
+        size = _ENTRY[name].itemsize
+        planes = np.frombuffer(columns, np.uint8, n * size, at).reshape(size, n)
+        out[name] = np.ascontiguousarray(planes.T).view(_ENTRY[name]).ravel()
+        at += n * size
     return out
 
 
