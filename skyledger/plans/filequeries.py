@@ -64,6 +64,17 @@ def _ingested(spark: SparkSession, d: str, *checks: quality.Check) -> str:
     return root
 
 
+_lakes: dict[tuple[str, str], str] = {}
+
+
+def _lake(spark: SparkSession, d: str) -> str:
+    """The same for queries that only read: one per session and input."""
+    key = spark.sparkContext.applicationId, d
+    if key not in _lakes:
+        _lakes[key] = _ingested(spark, d)
+    return _lakes[key]
+
+
 # Scans.
 
 
@@ -244,13 +255,13 @@ def metric_exclusions_log(spark, d):
 
 @query
 def canonical_scan(spark, d):
-    flights = canonical.read_flights(spark, f"{_ingested(spark, d)}/flights", "v1")
+    flights = canonical.read_flights(spark, f"{_lake(spark, d)}/flights", "v1")
     return flights.select("flight_id", "start_time_utc", "duration_minutes", "region_code", "superseded")
 
 
 @query
 def raw_csv_roundtrip(spark, d):
-    root = _ingested(spark, d)
+    root = _lake(spark, d)
     rows = spark.read.option("header", True).option("multiLine", True).csv(f"{root}/artifacts/1995/v1/raw.csv")
     return rows.select(F.ltrim("flight_id").alias("flight_id"), "region_name", "latitude", "notes")
 
@@ -258,14 +269,14 @@ def raw_csv_roundtrip(spark, d):
 @query
 def lineage_doc(spark, d):
     """The batch counts that every lineage document carries."""
-    documents = spark.read.json(f"{_ingested(spark, d)}/artifacts/1995/v1/lineage.json")
+    documents = spark.read.json(f"{_lake(spark, d)}/artifacts/1995/v1/lineage.json")
     whole = F.length("checksum") == 64
     return documents.select("counts.*", whole.alias("whole_checksum")).distinct()
 
 
 @query
 def quality_json(spark, d):
-    root = _ingested(spark, d)
+    root = _lake(spark, d)
     report = spark.read.json(f"{root}/artifacts/quality/v1/report.json")
     checks = report.select("dataset_version", F.explode("checks").alias("c"))
     return checks.select("dataset_version", "c.check_name", "c.status", F.col("c.impacted_records").alias("impacted_records"))
@@ -274,13 +285,13 @@ def quality_json(spark, d):
 @query
 def issues_replaced(spark, d):
     """The issues of a version that was validated twice."""
-    issues = sinks.read_version(spark, f"{_ingested(spark, d)}/flight_quality_issues", "v1")
+    issues = sinks.read_version(spark, f"{_lake(spark, d)}/flight_quality_issues", "v1")
     return quality.ordered_issues(issues).select("flight_uid", "check_name", "severity")
 
 
 @query
 def version_status(spark, d):
-    root = _ingested(spark, d)
+    root = _lake(spark, d)
     log = spark.read.parquet(f"{root}/dataset_version")
     found = versions.require_version(log, "v1")
     return found.select("dataset_version", "status", "year", "warn_count", "fail_count")
@@ -336,7 +347,7 @@ def reconcile_stored(spark, d):
 
 @query
 def operational_metrics(spark, d):
-    log = spark.read.parquet(f"{_ingested(spark, d)}/dataset_version")
+    log = spark.read.parquet(f"{_lake(spark, d)}/dataset_version")
     return versions.operational_metrics(versions.current_status(log), assigned(spark, d))
 
 
