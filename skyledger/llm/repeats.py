@@ -44,8 +44,6 @@ SPAN = WINDOW - 2 * RADIUS + 1
 CHUNK_BYTES = 2 << 20
 #: Characters of text per bucket of keys or windows.
 BUCKET_CHARS = 8_000_000
-#: Texts are written once and read twice, so they are worth the effort.
-_TEXT_CODEC = pa.Codec("zstd", compression_level=5)
 _NO_ID = np.iinfo(np.int64).max
 _LAST = np.uint64(0xFFFFFFFFFFFFFFFF)
 _FACTORS = texts.mix(np.arange(1, 2 * WINDOW + 1, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)) | np.uint64(1)
@@ -106,6 +104,11 @@ def windows(parts: list[bytes]) -> Windows:
     return Windows(found, hashes, starts, keys, own[times > 1])
 
 
+def _compressed(text: bytes) -> bytes:
+    """Texts are written three times, to the folder and for two shuffles, so they are worth the effort."""
+    return pa.Codec("zstd", compression_level=5).compress(text, asbytes=True)
+
+
 def _by_bucket(values: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Order by bucket and value, the buckets present, and their bounds in that order."""
     bucket = (values >> np.uint64(9)) % np.uint64(buckets)
@@ -136,7 +139,7 @@ def _chunked(rows: DataFrame, buckets: int) -> DataFrame:
             sizes = np.fromiter(map(len, parts), np.int64, len(parts))
             ids = batch.column("id")
             head = np.concatenate([[len(parts), len(whole)], sizes, ids.is_valid().to_numpy(zero_copy_only=False), ids.fill_null(_NO_ID).to_numpy()]).astype("<i8")
-            found = [(chunk, _TEXTS, _TEXT_CODEC.compress(whole, asbytes=True), head.tobytes())]
+            found = [(chunk, _TEXTS, _compressed(whole), head.tobytes())]
             keys = np.unique(windows(parts).keys)
             order, present, bounds = _by_bucket(keys, buckets)
             for b, x, y in zip(present.tolist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
