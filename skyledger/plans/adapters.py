@@ -14,6 +14,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deals a table out to the cores if it is too small to have a split for each.
+
+    The plan's size estimate decides, without a job; larger tables split as they are read.
+    """
+    context = df.sparkSession.sparkContext
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(context.defaultParallelism) if size < context.defaultParallelism * (8 << 20) else df
+
+
 def _minutes(n: Column) -> Column:
     return F.make_dt_interval(F.lit(0), F.lit(0), n)
 
@@ -32,7 +42,7 @@ def _tenths(n: Column, point: Column) -> Column:
 
 def flight_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw text rows: one report per order, and a re-issue for every 50th order."""
-    orders = table(spark, sf_dir, "orders")
+    orders = spread(table(spark, sf_dir, "orders"))
     customers = table(spark, sf_dir, "customer")
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
     joined = orders.join(customers, orders.o_custkey == customers.c_custkey)
