@@ -1,9 +1,10 @@
 """URL filters: rules by host and path, and logistic regression for the rest.
 
 The model sees hashed character n-grams of the host and of the path, told apart by a mark. It
-learns from a small labelled table, by default from a sample of the URLs that rules decide,
-of at most about SAMPLE_ROWS, chosen by a hash of the URL. Weights are BUCKETS numbers; they
-travel with the tasks. Host, path and rules are plain column expressions.
+learns from a small labelled table, by default from a sample of the URLs that rules decide:
+at most about SAMPLE_ROWS distinct pairs of host and path, half of them per verdict, chosen by
+a hash of both, so copies of a URL change nothing. Weights are BUCKETS numbers; they travel
+with the tasks. Host, path and rules are plain column expressions.
 
 A null URL or one without `://` has an empty host and path, which the model judges too. With
 no labelled URL, or labels of one kind only, the verdict is that kind, or `allow` if none.
@@ -126,14 +127,18 @@ def fit(hosts: list[str], paths: list[str], block: np.ndarray) -> Model:
 
 
 def labelled_sample(pages: DataFrame, url_col: str = "url", rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """(url, label): URLs that rules decide, with their verdicts; about `sample_rows` of them."""
-    rows = inputs(pages, url=url_col)
-    rows = rows.withColumn("label", decided(*host_and_path(F.col("url")), rules)[1]).where("label IS NOT NULL")
-    sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    """(url, label): URLs that rules decide, with their verdicts; about `sample_rows` distinct ones, cut to host and path."""
+    host, path = host_and_path(F.col("url"))
+    rows = inputs(pages, url=url_col).select(host.alias("host"), path.alias("path"))
+    rows = rows.withColumn("label", decided(F.col("host"), F.col("path"), rules)[1]).where("label IS NOT NULL")
+    # 53 bits, as many as a share has.
+    rows = rows.withColumn("place", F.shiftrightunsigned(F.xxhash64("host", "path"), 11))
+    sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.countDistinct("place").alias("n")).collect()}
     share = F.lit(0.0)
     for label, count in sizes.items():
         share = F.when(F.col("label") == label, min(1.0, sample_rows / 2 / count)).otherwise(share)
-    return rows.where(F.pmod(F.xxhash64("url"), F.lit(1 << 20)) < share * (1 << 20))
+    chosen = rows.where(F.col("place") < share * (1 << 53)).select("host", "path", "label").distinct()
+    return chosen.select(F.concat(F.lit("://"), "host", "path").alias("url"), "label")
 
 
 def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:

@@ -119,6 +119,21 @@ def test_url_model_learns_and_does_not_depend_on_the_batch():
     assert np.allclose(margin[3], model.margin(hosts[83:84], paths[83:84])[0])
 
 
+def test_url_sample_does_not_depend_on_copies(spark):
+    # A rate from rows, not from distinct URLs, would be about 0.002 here.
+    once = [f"http://casino{i}.net/es/{i}" for i in range(100)] + [f"http://news{i}.com/{i}?q={j}" for i in range(100) for j in range(2)]
+    schema = "page_id bigint, url string"
+    few = spark.createDataFrame(list(enumerate(once)), schema)
+    hot = few.union(spark.range(20_000).select("id", F.lit("http://casino0.net/es/0").alias("url"))).union(spark.range(20_000).select("id", F.lit("http://news0.com/0").alias("url")))
+    labelled = [sorted(map(tuple, urls.labelled_sample(pages, sample_rows=80).collect())) for pages in (few, hot)]
+    assert labelled[0] == labelled[1] and len(labelled[0]) == len(set(labelled[0]))
+    counts = [sum(label == kind for _, label in labelled[0]) for kind in ("allow", "block")]
+    assert all(20 <= n <= 60 for n in counts)
+    free = spark.createDataFrame([(i, f"http://{w}{i}.org/{i}") for i in range(200, 220) for w in ("casino", "news")], schema)
+    verdicts = [sorted((r.page_id, r.host, r.verdict) for r in urls.judged(free, urls.train(urls.labelled_sample(pages, sample_rows=80))).collect()) for pages in (few, hot)]
+    assert verdicts[0] == verdicts[1] and {v for _, _, v in verdicts[0]} == {"allow", "block"}
+
+
 def test_pipeline_stages(spark):
     rows = [r for r in texts() if r[0] not in (None, 509, 510)]
     items = [(1, " ".join(texts()[5][1].split()[4:19]))]
