@@ -7,7 +7,8 @@ one item, or a whole shorter item. Words that no item has cannot match, so only
 known words are walked.
 
 A null text has no words; an item without words matches nothing; items of the same id count
-once; with no items nothing is hit. Rows are independent of each other, texts are read whole.
+once. Items without an id mark words as hit like others; all of them count as one more item,
+which the digest of the ids leaves out. With no items nothing is hit. Rows are independent of each other, texts are read whole.
 """
 
 from __future__ import annotations
@@ -81,12 +82,12 @@ class SuffixAutomaton:
             at = self.link[at]
         return copy
 
-    def finish(self, items: list[tuple[str, list[int]]]) -> None:
+    def finish(self, items: list[tuple[str | None, list[int]]]) -> None:
         """Adds the items and notes which windows each state stands for."""
         for _, words in items:
             self.add(words)
-        owners: list[set[str]] = [set() for _ in self.next]
-        self.short: list[list[tuple[int, str]]] = [[] for _ in self.next]
+        owners: list[set[str | None]] = [set() for _ in self.next]
+        self.short: list[list[tuple[int, str | None]]] = [[] for _ in self.next]
         for name, words in items:
             at = 0
             for w in words:
@@ -108,7 +109,7 @@ class SuffixAutomaton:
         self.owners = [frozenset(o) if h == s else frozenset() for s, (o, h) in enumerate(zip(owners, self.holder, strict=True))]
         self.least = min([self.window, *(len(w) for _, w in items)])
 
-    def walk(self, numbers: list[int], base: int, spans: list[tuple[int, int]], found: set[str]) -> None:
+    def walk(self, numbers: list[int], base: int, spans: list[tuple[int, int]], found: set[str | None]) -> None:
         """Streams one stretch of known words: adds hit spans (from, to) and items."""
         state, size = 0, 0
         moves, link, length = self.next, self.link, self.length
@@ -138,7 +139,7 @@ class Shard:
     known: texts.Lookup
 
     @classmethod
-    def build(cls, names: list[str], contents: list[bytes], window: int) -> Shard | None:
+    def build(cls, names: list[str | None], contents: list[bytes], window: int) -> Shard | None:
         """None if no item has words."""
         found = texts.words(contents, texts.NOT_ALNUM)
         hashes = found.hashes() >> np.uint64(1)
@@ -153,11 +154,11 @@ class Shard:
 
 @dataclass
 class Hits:
-    """Of one chunk: its words and, per text, hit spans in word numbers and items."""
+    """Of one chunk: its words and, per text, hit spans in word numbers and items; None is one without an id."""
 
     words: texts.Words
     spans: dict[int, list[tuple[int, int]]]
-    items: dict[int, set[str]]
+    items: dict[int, set[str | None]]
 
 
 def match(column: pa.Array, shards: list[Shard]) -> Hits:
@@ -174,7 +175,7 @@ def match(column: pa.Array, shards: list[Shard]) -> Hits:
         good = (ends - starts >= shard.automaton.least) & np.append(known, False)[starts]
         for a, b in zip(starts[good].tolist(), ends[good].tolist(), strict=True):
             spans: list[tuple[int, int]] = []
-            items: set[str] = set()
+            items: set[str | None] = set()
             shard.automaton.walk(numbers[a:b].tolist(), a, spans, items)
             if spans:
                 text = int(np.searchsorted(found.first, a, side="right")) - 1
@@ -199,13 +200,14 @@ def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def shards(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW, shard_words: int = SHARD_WORDS) -> list[tuple[str, Broadcast]]:
     """Automata of all items; none is larger than its share of words allows."""
     spark = benchmark.sparkSession
-    items = inputs(benchmark, item=id_col, text=text_col).select(F.col("item").cast("string").alias("item"), "text").where("text IS NOT NULL AND item IS NOT NULL")
+    items = inputs(benchmark, item=id_col, text=text_col).select(F.col("item").cast("string").alias("item"), "text").where("text IS NOT NULL")
     size = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     count = 1 + size // (4 * shard_words)
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["item", "text"])
-        shard = Shard.build(rows["item"].tolist(), [t.encode() for t in rows["text"]], window)
+        names = [x if isinstance(x, str) else None for x in rows["item"]]
+        shard = Shard.build(names, [t.encode() for t in rows["text"]], window)
         return pd.DataFrame({"shard": rows["shard"].iloc[:1], "blob": [zlib.compress(pickle.dumps(shard), 1)]})
 
     built = items.withColumn("shard", F.pmod(F.xxhash64("item", "text"), F.lit(count)))
@@ -230,14 +232,15 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             hits = match(batch.column("text"), _load(blobs))
             n = range(batch.num_rows)
             n_hit = [sum(b - a for a, b in hits.spans.get(i, ())) for i in n]
-            items = [sorted(hits.items.get(i, ())) for i in n]
+            items = [hits.items.get(i, set()) for i in n]
+            digests = [hashlib.sha256(",".join(sorted(x - {None})).encode()).hexdigest() for x in items]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     pa.array(np.diff(hits.words.first)),
                     pa.array(n_hit, pa.int64()),
                     pa.array([len(x) for x in items], pa.int64()),
-                    pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in items], pa.string()),
+                    pa.array(digests, pa.string()),
                     pa.array([x > 0 for x in n_hit], pa.bool_()),
                 ],
                 ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],

@@ -97,6 +97,31 @@ def test_decontamination(spark, docs):
     assert left[7] == texts()[7][1]
 
 
+def test_decontamination_by_items_without_an_id(spark, docs):
+    duckdb = pytest.importorskip("duckdb")
+    from skyledger.llm.oracle import ORACLE
+
+    words = texts()[5][1].split()
+    items = [("a", " ".join(words[4:19])), (None, " ".join(words[10:25])), (None, " ".join(words[30:39])), (None, "one two three"), ("b", "ONE two; three"), (None, None)]
+    benchmark = spark.createDataFrame(items, "item_id string, text string")
+    unique = docs.where("doc_id > 1").select("doc_id", "text")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.execute("CREATE TABLE benchmark (item_id VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [tuple(r) for r in unique.collect()])
+    con.executemany("INSERT INTO benchmark VALUES (?, ?)", items)
+    result = con.execute(ORACLE["op3_decontaminate"])
+    columns = [c[0] for c in result.description]
+    found = decontaminate.report(unique, benchmark)
+    assert rows_of(found, *columns) == sorted(result.fetchall(), key=key)
+    by_id = {r.doc_id: r for r in found.collect()}
+    assert by_id[5].contaminated and (by_id[5].n_hit, by_id[5].n_items, by_id[5].items_sha256) == (30, 2, sha("a"))
+    only = decontaminate.report(unique, benchmark.where("item_id IS NULL")).where("doc_id = 5").first()
+    assert (only.n_hit, only.n_items, only.items_sha256) == (24, 1, sha(""))
+    left = {r.doc_id: r.text for r in decontaminate.clean(docs, benchmark.where("item_id IS NULL")).collect()}
+    assert 503 not in left and alnum_words(left[5]) == [w.lower() for w in words[:10] + words[25:30] + words[39:]]
+
+
 def test_decontamination_in_shards_random(spark):
     pick = random.Random(4)
     for _ in range(60):
