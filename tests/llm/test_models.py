@@ -47,6 +47,23 @@ def test_language_without_rows_or_labels(spark, docs):
     assert {r.lang_pred for r in language.report(blind).collect()} == {language.UNKNOWN}
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    pick = np.random.default_rng(12)
+    names = [f"l{i:03d}" for i in range(130)]
+    # Each language has letters of its own; the last ones are the rarest.
+    rows = [(name, "".join(chr(0x4E00 + 20 * n + k) + " " * int(k % 3 == 0) for k in pick.integers(0, 20, 60).tolist())) for n, name in enumerate(names) for _ in range(3 + (n < 100))]
+    docs = frame(spark, [(i, text, name) for i, (name, text) in enumerate(rows)])
+    every = F.lit(True)
+    found = {r.doc_id: r for r in language.predict(docs, language.train(docs, every)).collect()}
+    assert all(found[i].lang_pred == name and found[i].score > 0.9 for i, (name, _) in enumerate(rows))
+    assert language.kept(docs, language.train(docs, every)).count() == len(rows)
+    # Neither the size of the blocks nor what tasks hold changes a result.
+    monkeypatch.setattr(language, "LANGUAGES", 1000)
+    monkeypatch.setattr(language, "HELD_LANGUAGES", 3)
+    again = {r.doc_id: r for r in language.predict(docs, language.train(docs, every)).collect()}
+    assert all(again[i].lang_pred == r.lang_pred and np.isclose(again[i].score, r.score) for i, r in found.items())
+
+
 def test_quality_on_held_out_rows(spark):
     docs, labels = table(spark, "/root/testdata/sf0.1", "documents"), table(spark, "/root/testdata/sf0.1", "labels")
     found = quality.report(docs, labels).join(labels.select("doc_id", "quality"), "doc_id").where("held_out").collect()
