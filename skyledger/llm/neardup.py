@@ -181,8 +181,8 @@ def _with_sets(rows: DataFrame) -> DataFrame:
     return rows.select("cluster", "blocks", "id", "text").mapInArrow(run, "cluster bigint, blocks bigint, id bigint, shingles binary")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id_col, n_shingles, component_id, kept) per row of `docs`."""
+def _named(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, n_shingles, print, component) per row of `docs`; without an id, the component is null."""
     rows = inputs(docs, id=id_col, text=text_col).select(F.col("id").cast("bigint").alias("id"), "text")
     sketch = staged(sketches(rows), "sketches")
     whole = F.min(F.struct("id", "n_shingles", "tokens")).alias("s")
@@ -203,12 +203,45 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     firsts = sets.select("print", F.col("id").alias("first")).join(found, "first", "left")
     named = sketch.select("id", "n_shingles", "print").join(firsts, "print", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "first", "id"))
-    return named.select(
-        F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept")
-    )
+    return named.select("id", "n_shingles", "print", component.alias("component"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id_col, n_shingles, component_id, kept) per row of `docs`."""
+    kept = F.col("id").eqNullSafe(F.col("component"))
+    return _named(docs, id_col, text_col).select(F.col("id").alias(id_col), "n_shingles", F.col("component").alias("component_id"), kept.alias("kept"))
+
+
+def _printed(rows: DataFrame, text_col: str) -> DataFrame:
+    """(_print, _row): the print of each row's set, null if it has none, and all columns of the row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in texts.chunks(batches, "text"):
+            prints = [shingles.fingerprint(s) if len(s) else None for s in shingles.sets(texts.text_bytes(batch.column("text")))]
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(prints, pa.binary()), batch.column("_row")], ["_id", "_print", "_row"])
+
+    given = rows.select("_id", F.col(text_col).alias("text"), F.struct(*(c for c in rows.columns if c != "_id")).alias("_row"))
+    return given.mapInArrow(run, given.select("_id", F.lit(None).cast("binary").alias("_print"), "_row").schema)
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows whose document stands for its component; rows without an id stay."""
-    gone = near_duplicates(docs, id_col, text_col).where("NOT kept").select(F.col(id_col).cast("bigint").alias("_gone"))
-    return docs.join(gone, docs[id_col].cast("bigint") == gone["_gone"], "left_anti")
+    """The rows whose document stands for its component, one per id and set of shingles.
+
+    Rows without an id count by their sets: one of equal sets stays, and none if a row with an
+    id has that set. Rows without an id and without words stay.
+    """
+    named = staged(_named(docs, id_col, text_col).select("id", "print", F.expr("id <> component").alias("gone")), "named")
+    ids = named.groupBy("id").agg(F.coalesce(F.max("gone"), F.lit(False)).alias("gone"), F.count(F.lit(1)).alias("n"))
+    wordless = ~F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    rows = docs.withColumn("_id", F.col(id_col).cast("bigint"))
+    plain = rows.where(F.col("_id").isNotNull() | wordless)
+    once = plain.join(ids.where("id IS NOT NULL AND (gone OR n > 1)").select(F.col("id").alias("_id")), "_id", "left_anti").select(*docs.columns)
+
+    # The others by id and print: equal rows are one before they are shuffled.
+    again = rows.where("_id IS NOT NULL").join(ids.where("NOT gone AND n > 1").select(F.col("id").alias("_id")), "_id", "left_semi")
+    nameless = rows.where(F.col("_id").isNull() & ~wordless)
+    left = _printed(again.select("_id", *docs.columns).union(nameless.select("_id", *docs.columns)), text_col)
+    left = left.groupBy("_id", "_print").agg(F.min("_row").alias("_row"))
+    known = named.where("id IS NOT NULL AND print IS NOT NULL").select(F.col("print").alias("_known"))
+    left = left.join(known, left["_id"].isNull() & (left["_print"] == known["_known"]), "left_anti")
+    return once.union(left.select("_row.*"))

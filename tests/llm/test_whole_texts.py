@@ -204,6 +204,21 @@ def test_near_duplicates_in_blocks(spark, monkeypatch):
     assert left == {i for i, _, _, kept in near_duplicates(rows) if kept}
 
 
+def test_deduplicated_rows(spark):
+    """One row per id and set of words stays, however often rows repeat; rows without an id go by their sets."""
+    one, two, three = (" ".join(f"{w}{i}" for i in range(12)) for w in "abc")
+    rows = [(1, one, "aa")] * 40 + [(1, f"{one}\n", "aa"), (2, one, "aa"), (2, one, "aa"), (3, two, "zz"), (3, three, "zz"), (3, three, "zz"), (4, "", "aa"), (4, "", "aa"), (5, None, "aa")]
+    rows += [(None, one, "aa")] * 9 + [(None, "no id at all", "aa")] * 9 + [(None, "NO id at all", "aa"), (None, None, "aa"), (None, " ", None)]
+    docs = frame(spark, rows)
+    found = neardup.deduplicated(docs)
+    assert found.columns == docs.columns
+    got = [(r.doc_id, blank_words((r.text or "").lower())) for r in found.collect()]
+    nameless = [[], [], "no id at all".split()]
+    assert sorted(w for i, w in got if i is None) == nameless
+    assert sorted(r for r in got if r[0] is not None) == [(1, one.split()), (3, two.split()), (3, three.split()), (4, []), (5, [])]
+    assert neardup.deduplicated(docs.limit(0)).count() == 0
+
+
 def test_maxscore(spark):
     pick = np.random.default_rng(8)
     vectors = [(int(i), [float(x) for x in pick.normal(size=16)], "clash", 1) for i in range(300)]
