@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import bpe, decontaminate, language, lattice, maxscore, neardup, quality, repeats, secret_scan, urls
+from skyledger.llm import bpe, byterepeats, centroids, decontaminate, language, lattice, maxscore, neardup, phrases, quality, repeats, secret_scan, urls
 
 #: Files of the byte-level tokenizer and of the pieces; the installed ones where these are unset.
 TOKENIZER_VARIABLE = "SKYLEDGER_BYTE_BPE"
@@ -87,6 +87,21 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Collocations of each language."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that long repeats cover."""
+    return byterepeats.report(table(spark, sf_dir, "documents"))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of all vectors."""
+    return centroids.report(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -100,5 +115,8 @@ QUERIES = {
         op8_bpe_round_trip,
         op9_url_filter,
         op10_minhash,
+        op11_phrases,
+        op12_suffix_dedup,
+        op13_centroids,
     )
 }
