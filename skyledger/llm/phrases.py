@@ -5,10 +5,12 @@ ones behind the end of the piece. Only these windows are counted. Spark's ROLLUP
 columns then sums the counts of all shorter prefixes, so a phrase of k words is counted as the
 windows that begin with it, and a language's words are its number of windows.
 
-A phrase that occurs LEAST times consists of words and pairs that do. One pass counts hashes of
-words and pairs; those that reach LEAST set bits in a filter of FILTER_BITS, whatever the size
-of the input. A window is padded from its first pair without a bit on: such prefixes are too rare
-to count. A wrong bit costs a row, never a result. The filter is all that is broadcast.
+A phrase that occurs LEAST times consists of phrases that do. Before the windows are counted,
+hashes of prefixes are: first of words and pairs, then of three to LONGEST words whose pairs all
+have bits. Prefixes that reach LEAST set bits in a filter of FILTER_BITS, whatever the size of the
+input; a window is padded behind the last of its prefixes with a bit. A wrong bit costs a row,
+never a result. The filter is all that is broadcast. Hashes are counted within a task, then sent
+to ranges of hashes as packed differences, a few bytes each.
 
 Null languages are `und`; null and empty texts have no words. Rows that repeat count as often as
 they occur, an empty table gives no rows, and other columns play no part.
@@ -17,7 +19,7 @@ they occur, an empty table gives no rows, and other columns play no part.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +27,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm import texts
+from skyledger.llm.blobs import squeeze, unsqueeze
+from skyledger.llm.groups import groups
 from skyledger.llm.staging import inputs, staged
 
 LONGEST = 5
@@ -32,8 +36,13 @@ LONGEST = 5
 LEAST = 100
 #: Phrases returned of each language.
 TOP = 2000
-FILTER_BITS = 1 << 26
+FILTER_BITS = 1 << 27
 CHUNK_BYTES = 4 << 20
+#: Distinct hashes that a task holds before it sends them.
+HELD_KEYS = 1 << 21
+#: Characters of text per range of hashes.
+RANGE_CHARS = 8_000_000
+_KEY_BITS = 48
 #: First rankings of a language's candidates run in as many parts.
 RANK_PARTS = 64
 NO_LANGUAGE = "und"
@@ -61,62 +70,137 @@ class _Chunk:
         self.goes_on[:-1] = (piece[1:] == piece[:-1]) & (text[1:] == text[:-1])
         salt = np.array([int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "little") for x in self.languages] or [0], np.uint64)
         self.salt = salt[self.language]
-        self.single = texts.mix(self.hashes * _FACTORS[0] + self.salt)
-        after = np.append(self.hashes[1:], np.uint64(0))[:n]
-        self.pair = texts.mix(self.hashes * _FACTORS[1] + after * _FACTORS[2] + self.salt)
+
+    def prefixes(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For each k, hashes of the first k words of all windows, and which of them lie in one piece."""
+        n = len(self.hashes)
+        whole, inside = self.salt, np.ones(n, bool)
+        for k in range(1, LONGEST + 1):
+            lead = np.append(self.hashes[k - 1 :], np.zeros(k - 1, np.uint64))[:n]
+            whole = texts.mix(whole + lead * _FACTORS[k])
+            if k > 1:
+                inside = inside & _ahead(self.goes_on, k - 2)
+            yield k, whole, inside
+
+
+def _ahead(flags: np.ndarray, k: int) -> np.ndarray:
+    return np.append(flags[k:], np.zeros(k, bool))[: len(flags)]
+
+
+def _short_keys(chunk: _Chunk) -> np.ndarray:
+    """Hashes of all words and pairs."""
+    return np.concatenate([whole[inside] for k, whole, inside in chunk.prefixes() if k <= 2])
+
+
+def _long_keys(chunk: _Chunk, bits: np.ndarray) -> np.ndarray:
+    """Hashes of the longer prefixes whose pairs have bits."""
+    out = [np.empty(0, np.uint64)]
+    for k, whole, inside in chunk.prefixes():
+        if k == 2:
+            pairs = inside.copy()
+            pairs[inside] = _has(bits, whole[inside])
+            alive = pairs
+        elif k > 2:
+            alive = alive & _ahead(pairs, k - 2)
+            out.append(whole[alive])
+    return np.concatenate(out)
 
 
-def _frequent_bits(rows: DataFrame, least: int) -> np.ndarray:
-    """Bits 1 to FILTER_BITS of the words and pairs that may occur `least` times."""
+def _packed(keys: np.ndarray, counts: np.ndarray) -> bytes:
+    """Sorted keys as differences, byte by byte of all, then the counts likewise."""
+    steps = np.diff(keys, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8)
+    planes = np.concatenate([steps.T[: _KEY_BITS // 8], counts.astype("<u4").view(np.uint8).reshape(-1, 4).T])
+    return squeeze(planes.tobytes(), 1)
+
+
+def _unpacked(blob: pa.Buffer) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(unsqueeze(blob), np.uint8).reshape(_KEY_BITS // 8 + 4, -1)
+    steps = np.zeros((planes.shape[1], 8), np.uint8)
+    steps[:, : _KEY_BITS // 8] = planes[:-4].T
+    return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64), np.ascontiguousarray(planes[-4:].T).view("<u4").ravel()
+
+
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    keys, place = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    return keys, np.bincount(place, np.concatenate([n for _, n in parts]), len(keys)).astype(np.int64)
+
+
+def _frequent_bits(rows: DataFrame, keys_of: Callable[[_Chunk], np.ndarray], ranges: int, least: int) -> np.ndarray:
+    """Bits of the keys that occur `least` times."""
+    shift = np.uint64(64 - _KEY_BITS)
+
+    def sent(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        keys, n = _merged(held)
+        part = (keys >> np.uint64(16)) * np.uint64(ranges) >> np.uint64(_KEY_BITS - 16)
+        present, first = np.unique(part, return_index=True)
+        bounds = np.append(first, len(keys))
+        blobs = [_packed(keys[a:b], n[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(present.astype(np.int32)), pa.array(blobs, pa.binary())], ["part", "data"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in texts.chunks(batches, "text", CHUNK_BYTES):
-            chunk = _Chunk(batch)
-            keys, n = np.unique(np.concatenate([chunk.single, chunk.pair[chunk.goes_on]]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], ["key", "n"])
+            held.append(np.unique(keys_of(_Chunk(batch)) >> shift, return_counts=True))
+            if sum(len(k) for k, _ in held) > HELD_KEYS:
+                held = [_merged(held)]
+                if len(held[0][0]) > HELD_KEYS // 2:
+                    yield from sent(held)
+                    held = []
+        if held:
+            yield from sent(held)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in groups(batches, ["part"]):
+            keys, n = _merged([_unpacked(x.as_buffer()) for x in part.column("data")])
+            yield pa.RecordBatch.from_arrays([pa.array(keys[n >= least].view(np.int64))], ["key"])
 
-    often = rows.mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    parts = rows.mapInArrow(run, "part int, data binary").repartition("part").sortWithinPartitions("part")
     place = F.pmod("key", F.lit(FILTER_BITS)) + 1
+    often = parts.mapInArrow(counted, "key bigint")
     blocks = often.groupBy(F.bitmap_bucket_number(place).alias("block")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
     bits = np.zeros(FILTER_BITS // 8, np.uint8)
     for row in blocks.toLocalIterator():
         one = np.frombuffer(bytes(row.bits), np.uint8)
-        bits[(row.block - 1) * len(one) : row.block * len(one)] = one[: len(bits)]
+        bits[(row.block - 1) * len(one) : row.block * len(one)] = one
     return bits
 
 
-def _has(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    place = (keys & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+def _has(bits: np.ndarray, wholes: np.ndarray) -> np.ndarray:
+    place = ((wholes >> np.uint64(64 - _KEY_BITS)) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
     return (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
 
 
 def windows(rows: DataFrame, least: int = LEAST) -> DataFrame:
     """(lang, w1 to w5, n): the padded longest windows of (text, lang), counted within chunks."""
-    spark = rows.sparkSession
-    shared = spark.sparkContext.broadcast(_frequent_bits(rows, least))
-    bits_of = {}
+    context = rows.sparkSession.sparkContext
+    size = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    ranges = 16 + size // RANGE_CHARS
+    short = _frequent_bits(rows, _short_keys, ranges, least)
+    pairs = context.broadcast(short)
+    both = context.broadcast(short | _frequent_bits(rows, lambda chunk: _long_keys(chunk, pairs.value), ranges, least))
+    pairs.unpersist()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = bits_of.setdefault(0, shared.value)
         for batch in texts.chunks(batches, "text", CHUNK_BYTES):
-            yield _counted(_Chunk(batch), bits)
+            yield _counted(_Chunk(batch), both.value)
 
     return rows.mapInArrow(run, "lang string, " + ", ".join(f"{c} string" for c in _COLUMNS) + ", n bigint")
 
 
 def _counted(chunk: _Chunk, bits: np.ndarray) -> pa.RecordBatch:
     n = len(chunk.hashes)
-    more = chunk.goes_on & _has(bits, chunk.pair)
-    alive = _has(bits, chunk.single)
-    length = alive.astype(np.int64)
-    whole = texts.mix(chunk.salt ^ _FACTORS[LONGEST])
-    whole = np.where(alive, texts.mix(whole + chunk.hashes), whole)
-    for k in range(1, LONGEST):
-        alive &= np.append(more[k - 1 :], np.zeros(k - 1, bool))[:n]
+    padded, length, alive = texts.mix(chunk.salt), np.zeros(n, np.int64), np.ones(n, bool)
+    for k, whole, inside in chunk.prefixes():
+        alive &= inside
+        alive[alive] = _has(bits, whole[alive])
+        if k == 2:
+            pairs = alive
+        if k > 2:
+            alive &= _ahead(pairs, k - 2)
+        padded = np.where(alive, whole, padded)
         length += alive
-        lead = np.append(chunk.hashes[k:], np.zeros(k, np.uint64))[:n]
-        whole = np.where(alive, texts.mix(whole + lead * _FACTORS[k]), whole)
-    _, at, counts = np.unique(whole, return_index=True, return_counts=True)
+        alive = alive.copy()
+    _, at, counts = np.unique(padded, return_index=True, return_counts=True)
     length = length[at]
     place = np.where(np.arange(LONGEST) < length[:, None], at[:, None] + np.arange(LONGEST), -1)
     used = np.unique(place[place >= 0])
