@@ -23,6 +23,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.ipc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,8 +41,10 @@ FILTER_BITS = 1 << 27
 CHUNK_BYTES = 4 << 20
 #: Distinct hashes that a task holds before it sends them.
 HELD_KEYS = 1 << 21
+#: Distinct windows that a task holds before it sends them.
+HELD_WINDOWS = 1 << 19
 #: Characters of text per range of hashes.
-RANGE_CHARS = 8_000_000
+RANGE_CHARS = 16_000_000
 _KEY_BITS = 48
 #: First rankings of a language's candidates run in as many parts.
 RANK_PARTS = 64
@@ -51,6 +54,8 @@ NO_LANGUAGE = "und"
 PIECE_ENDS = texts.byte_class([(ord(c), ord(c)) for c in ".,;:!?"] + [(0x0A, 0x0D)])
 WORD_ENDS = PIECE_ENDS | texts.byte_class([(0x20, 0x20), (0x09, 0x09)])
 _COLUMNS = [f"w{k}" for k in range(1, LONGEST + 1)]
+#: Counted windows of a task, with their hash.
+_WINDOWS = pa.schema([("h", pa.uint64()), *((c, pa.string()) for c in ("lang", *_COLUMNS)), ("n", pa.int64())])
 _FACTORS = texts.mix(np.arange(1, LONGEST + 2, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)) | np.uint64(1)
 
 
@@ -171,7 +176,7 @@ def _has(bits: np.ndarray, wholes: np.ndarray) -> np.ndarray:
 
 
 def windows(rows: DataFrame, least: int = LEAST) -> DataFrame:
-    """(lang, w1 to w5, n): the padded longest windows of (text, lang), counted within chunks."""
+    """(lang, w1 to w5, n): the distinct padded longest windows of (text, lang), counted."""
     context = rows.sparkSession.sparkContext
     size = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     ranges = 16 + size // RANGE_CHARS
@@ -180,11 +185,43 @@ def windows(rows: DataFrame, least: int = LEAST) -> DataFrame:
     both = context.broadcast(short | _frequent_bits(rows, lambda chunk: _long_keys(chunk, pairs.value), ranges, least))
     pairs.unpersist()
 
+    def sent(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = _summed(held)
+        part = table.column("h").to_numpy() >> np.uint64(32)
+        part = part * np.uint64(ranges) >> np.uint64(32)
+        order = np.argsort(part, kind="stable")
+        present, first = np.unique(part[order], return_index=True)
+        table, bounds = table.take(pa.array(order)).combine_chunks(), np.append(first, len(order)).tolist()
+        for k, name in enumerate(present.tolist()):
+            one = table.slice(bounds[k], bounds[k + 1] - bounds[k]).combine_chunks().to_batches()[0]
+            yield pa.RecordBatch.from_arrays([pa.array([name], pa.int32()), pa.array([squeeze(one.serialize().to_pybytes())], pa.binary())], ["part", "data"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
         for batch in texts.chunks(batches, "text", CHUNK_BYTES):
-            yield _counted(_Chunk(batch), both.value)
+            held.append(_counted(_Chunk(batch), both.value))
+            if sum(h.num_rows for h in held) > HELD_WINDOWS:
+                held = _summed(held).to_batches()
+                if sum(h.num_rows for h in held) > HELD_WINDOWS // 2:
+                    yield from sent(held)
+                    held = []
+        if held:
+            yield from sent(held)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in groups(batches, ["part"]):
+            blobs = [pa.py_buffer(unsqueeze(x.as_buffer())) for x in part.column("data")]
+            table = _summed([pa.ipc.read_record_batch(b, _WINDOWS) for b in blobs])
+            yield from table.drop_columns("h").to_batches(max_chunksize=10_000)
+
+    parts = rows.mapInArrow(run, "part int, data binary").repartition("part").sortWithinPartitions("part")
+    return parts.mapInArrow(counted, "lang string, " + ", ".join(f"{c} string" for c in _COLUMNS) + ", n bigint")
+
 
-    return rows.mapInArrow(run, "lang string, " + ", ".join(f"{c} string" for c in _COLUMNS) + ", n bigint")
+def _summed(batches: list[pa.RecordBatch]) -> pa.Table:
+    """Equal windows as one row."""
+    table = pa.Table.from_batches(batches).group_by(_WINDOWS.names[:-1], use_threads=False).aggregate([("n", "sum")])
+    return table.rename_columns([*table.column_names[:-1], "n"]).select(_WINDOWS.names).combine_chunks()
 
 
 def _counted(chunk: _Chunk, bits: np.ndarray) -> pa.RecordBatch:
@@ -200,7 +237,7 @@ def _counted(chunk: _Chunk, bits: np.ndarray) -> pa.RecordBatch:
         padded = np.where(alive, whole, padded)
         length += alive
         alive = alive.copy()
-    _, at, counts = np.unique(padded, return_index=True, return_counts=True)
+    whole, at, counts = np.unique(padded, return_index=True, return_counts=True)
     length = length[at]
     place = np.where(np.arange(LONGEST) < length[:, None], at[:, None] + np.arange(LONGEST), -1)
     used = np.unique(place[place >= 0])
@@ -211,13 +248,12 @@ def _counted(chunk: _Chunk, bits: np.ndarray) -> pa.RecordBatch:
     number[used] = same
     columns = [names.take(pa.array(number[place[:, k]])) for k in range(LONGEST)]
     language = pa.array(chunk.languages, pa.string()).take(pa.array(chunk.language[at]))
-    return pa.RecordBatch.from_arrays([language, *columns, pa.array(counts)], ["lang", *_COLUMNS, "n"])
+    return pa.RecordBatch.from_arrays([pa.array(whole), language, *columns, pa.array(counts)], schema=_WINDOWS)
 
 
 def phrase_counts(rows: DataFrame, least: int = LEAST) -> DataFrame:
     """(lang, k, phrase, f): phrases of k words that occur `least` times; k = 0 counts the words of a language."""
-    longest = windows(rows, least).groupBy("lang", *_COLUMNS).agg(F.sum("n").alias("n"))
-    rolled = longest.rollup("lang", *_COLUMNS).agg(F.sum("n").alias("f"), F.grouping_id().alias("level"))
+    rolled = windows(rows, least).rollup("lang", *_COLUMNS).agg(F.sum("n").alias("f"), F.grouping_id().alias("level"))
     rest = F.col("level")
     size = F.when(rest == 2**LONGEST - 1, 0)
     for k in range(1, LONGEST + 1):
