@@ -171,14 +171,28 @@ def _similar(a: list[np.ndarray], b: list[np.ndarray], width: int = 4096) -> np.
 
 
 def _with_sets(rows: DataFrame) -> DataFrame:
-    """(cluster, blocks, id, text) with the text replaced by its full set."""
+    """(cluster, blocks, id, text, print) with the text replaced by its full set.
+
+    Rows whose set has another print are left out, and of repeated rows each task gives one.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, bytes]] = set()
         for batch in texts.chunks(batches, "text"):
-            sets = [s.astype("<u8").tobytes() for s in shingles.sets(texts.text_bytes(batch.column("text")))]
+            names = list(zip(batch.column("id").to_pylist(), batch.column("print").to_pylist(), strict=True))
+            new = [k for k, name in enumerate(names) if name not in seen]
+            batch = batch.take(pa.array(new, pa.int64()))
+            keep, sets = [], []
+            for k, found in enumerate(shingles.sets(texts.text_bytes(batch.column("text")))):
+                name = names[new[k]]
+                if name not in seen and len(found) and shingles.fingerprint(found) == name[1]:
+                    seen.add(name)
+                    keep.append(k)
+                    sets.append(found.astype("<u8").tobytes())
+            batch = batch.take(pa.array(keep, pa.int64()))
             yield pa.RecordBatch.from_arrays([batch.column("cluster"), batch.column("blocks"), batch.column("id"), pa.array(sets, pa.binary())], ["cluster", "blocks", "id", "shingles"])
 
-    return rows.select("cluster", "blocks", "id", "text").mapInArrow(run, "cluster bigint, blocks bigint, id bigint, shingles binary")
+    return rows.select("cluster", "blocks", "id", "text", "print").mapInArrow(run, "cluster bigint, blocks bigint, id bigint, shingles binary")
 
 
 def _named(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -192,20 +206,31 @@ def _named(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     loose = _sorted_groups(lists, "token").select("token", "i", "j", "id", "block", "tokens").mapInArrow(_collisions, "u bigint, v bigint")
     clusters = staged(components(loose), "clusters").withColumnsRenamed({"node": "id", "component": "cluster"})
 
-    members = clusters.join(sets.select("id", "n_shingles"), "id")
+    members = clusters.join(sets.select("id", "n_shingles", "print"), "id")
     blocks = F.greatest(F.ceil(F.count(F.lit(1)) / CLUSTER_BLOCK), F.ceil(F.sum("n_shingles") / CLUSTER_SHINGLES))
-    members = members.join(members.groupBy("cluster").agg(blocks.alias("blocks")), "cluster").select("id", "cluster", "blocks")
+    members = members.join(members.groupBy("cluster").agg(blocks.alias("blocks")), "cluster").select("id", "cluster", "blocks", "print")
     with_text = rows.join(members, "id")
     full = _in_blocks(_with_sets(with_text), F.col("blocks"), "id")
     links = _sorted_groups(full, "cluster").select("cluster", "i", "j", "id", "block", "shingles").mapInArrow(_links, "u bigint, v bigint")
-    found = components(links).withColumnsRenamed({"node": "first"})
+    firsts = sets.select("print", F.col("id").alias("first"))
+    found = components(links.union(_links_of_repeated_ids(sketch, firsts)))
 
-    firsts = sets.select("print", F.col("id").alias("first")).join(found, "first", "left")
-    named = sketch.select("id", "n_shingles", "print").join(firsts, "print", "left")
+    firsts = firsts.join(found.withColumnsRenamed({"node": "first"}), "first", "left")
+    worded = sketch.where("print IS NOT NULL").select("id", "n_shingles", "print").join(firsts, "print", "left")
+    blank = sketch.where("print IS NULL").select("id", "n_shingles", "print", F.lit(None).cast("bigint").alias("first"))
+    named = worded.unionByName(blank.join(found.withColumnsRenamed({"node": "id"}), "id", "left"))
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "first", "id"))
     return named.select("id", "n_shingles", "print", component.alias("component"))
 
 
+def _links_of_repeated_ids(sketch: DataFrame, firsts: DataFrame) -> DataFrame:
+    """(u, v): ids that stand for several texts, and the ids that stand for those."""
+    texts_of = F.min(F.coalesce("print", F.lit(b""))) != F.max(F.coalesce("print", F.lit(b"")))
+    several = sketch.where("id IS NOT NULL").groupBy("id").agg(texts_of.alias("several")).where("several").select("id")
+    prints = sketch.where("id IS NOT NULL AND print IS NOT NULL").join(several, "id").select("id", "print").distinct()
+    return prints.join(firsts, "print").select(F.col("id").alias("u"), F.col("first").alias("v"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, n_shingles, component_id, kept) per row of `docs`."""
     kept = F.col("id").eqNullSafe(F.col("component"))
@@ -213,35 +238,36 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def _printed(rows: DataFrame, text_col: str) -> DataFrame:
-    """(_print, _row): the print of each row's set, null if it has none, and all columns of the row."""
+    """(id, print, row): the print of the set of each row (id, row), null if it has none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in texts.chunks(batches, "text"):
             prints = [shingles.fingerprint(s) if len(s) else None for s in shingles.sets(texts.text_bytes(batch.column("text")))]
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(prints, pa.binary()), batch.column("_row")], ["_id", "_print", "_row"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(prints, pa.binary()), batch.column("row")], ["id", "print", "row"])
 
-    given = rows.select("_id", F.col(text_col).alias("text"), F.struct(*(c for c in rows.columns if c != "_id")).alias("_row"))
-    return given.mapInArrow(run, given.select("_id", F.lit(None).cast("binary").alias("_print"), "_row").schema)
+    given = rows.select("id", F.col("row").getField(text_col).alias("text"), "row")
+    return given.mapInArrow(run, given.select("id", F.lit(None).cast("binary").alias("print"), "row").schema)
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows whose document stands for its component, one per id and set of shingles.
 
     Rows without an id count by their sets: one of equal sets stays, and none if a row with an
-    id has that set. Rows without an id and without words stay.
+    id has that set. Rows without an id and without words stay. Columns may have any name.
     """
     named = staged(_named(docs, id_col, text_col).select("id", "print", F.expr("id <> component").alias("gone")), "named")
-    ids = named.groupBy("id").agg(F.coalesce(F.max("gone"), F.lit(False)).alias("gone"), F.count(F.lit(1)).alias("n"))
-    wordless = ~F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    rows = docs.withColumn("_id", F.col(id_col).cast("bigint"))
-    plain = rows.where(F.col("_id").isNotNull() | wordless)
-    once = plain.join(ids.where("id IS NOT NULL AND (gone OR n > 1)").select(F.col("id").alias("_id")), "_id", "left_anti").select(*docs.columns)
-
-    # The others by id and print: equal rows are one before they are shuffled.
-    again = rows.where("_id IS NOT NULL").join(ids.where("NOT gone AND n > 1").select(F.col("id").alias("_id")), "_id", "left_semi")
-    nameless = rows.where(F.col("_id").isNull() & ~wordless)
-    left = _printed(again.select("_id", *docs.columns).union(nameless.select("_id", *docs.columns)), text_col)
-    left = left.groupBy("_id", "_print").agg(F.min("_row").alias("_row"))
-    known = named.where("id IS NOT NULL AND print IS NOT NULL").select(F.col("print").alias("_known"))
-    left = left.join(known, left["_id"].isNull() & (left["_print"] == known["_known"]), "left_anti")
-    return once.union(left.select("_row.*"))
+    ids = named.where("id IS NOT NULL").groupBy("id").agg(F.max("gone").alias("gone"), F.count(F.lit(1)).alias("n")).where("NOT gone")
+    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    # Both joins shuffle the rows alike, so Spark moves them once.
+    once = rows.join(ids.where("n = 1").select("id"), "id")
+    again = rows.join(ids.where("n > 1").select("id"), "id")
+    text = F.col("row").getField(text_col)
+    wordless = ~F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    nameless = rows.where("id IS NULL")
+
+    # Equal rows are one before they are shuffled.
+    left = _printed(again.select("id", "row").union(nameless.where(~wordless)), text_col)
+    left = left.groupBy("id", "print").agg(F.min("row").alias("row"))
+    known = named.where("id IS NOT NULL AND print IS NOT NULL").select(F.col("print").alias("known"))
+    left = left.join(known, left["id"].isNull() & (left["print"] == known["known"]), "left_anti")
+    return once.select("row").union(left.select("row")).union(nameless.where(wordless).select("row")).select("row.*")
