@@ -1,16 +1,20 @@
 """Stored tables and files.
 
 Tables are Parquet, partitioned by year and dataset_version where both apply. Replacing a
-version overwrites its partitions only.
+version overwrites its partitions only. Regions, reports, issues, rejects and reviews are
+replaced in one step (`snapshots`): readers see the old rows or the new ones.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.times import offset_text
 from ..schema import CANONICAL
+from . import snapshots
 
 
 def write_raw_csv(rows: DataFrame, path: str) -> None:
@@ -77,23 +81,14 @@ def write_version(df: DataFrame, path: str, version: str, year: int | None = Non
     _replace(rows.withColumn("dataset_version", F.lit(version)), path, "year", "dataset_version")
 
 
-def replace_version(df: DataFrame, path: str, version: str) -> None:
-    """Replace the rows of a version, also by none.
-
-    A marker row keeps the partition in the write, because an empty result would leave
-    the old rows where they are. `read_version` leaves the marker out.
-    """
-    rows = df.withColumn("_marker", F.lit(False))
-    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields]
-    marker = df.sparkSession.range(1).select(*blank, F.lit(True).alias("_marker"))
-    _replace(
-        rows.unionByName(marker).withColumn("dataset_version", F.lit(version)), path, "dataset_version"
-    )
+def replace_version(df: DataFrame, path: str, version: str) -> int:
+    """Replace the rows of a version in one step, also by none; returns how many they are."""
+    return snapshots.publish(df.withColumn("dataset_version", F.lit(version)), path, version)
 
 
-def read_version(spark, path: str, version: str | None = None) -> DataFrame:
-    table = spark.read.parquet(path).where("NOT _marker").drop("_marker")
-    return table if version is None else table.where(F.col("dataset_version") == version)
+def read_version(spark: SparkSession, path: str, version: str | None = None) -> DataFrame:
+    """The rows of a version, or of all."""
+    return snapshots.read(spark, path, version)
 
 
 def append(df: DataFrame, path: str) -> None:
@@ -156,9 +151,15 @@ def export(table: DataFrame, path: str, fmt: str = "csv") -> None:
         raise ValueError(f"unknown export format {fmt}")
 
 
-def refresh_regions(features: DataFrame, regions: DataFrame, path: str) -> int:
-    """Replace the region table; returns the number of input features."""
-    regions.write.mode("overwrite").parquet(path)
-    return features.count()
+def refresh_regions(features: DataFrame, to_table: Callable[[DataFrame], DataFrame], path: str) -> int:
+    """Replace the region table in one step; returns the number of input features, counted on the way.
+
+    If reading or shaping the features fails, the old table stays.
+    """
+    seen = Observation()
+    snapshots.publish(to_table(features.observe(seen, F.count(F.lit(1)).alias("features"))), path)
+    return seen.get["features"]
 
 
+def read_regions(spark: SparkSession, path: str) -> DataFrame:
+    return snapshots.read(spark, path)

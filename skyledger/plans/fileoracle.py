@@ -102,3 +102,6 @@ ORACLE |= {
           (1, 'dataset.ingested', 'OK'), (1, 'dataset.validated', 'FAIL')) AS e(s, event, status) ON e.s = n.seq""",
 }
 ORACLE["operational_metrics"] = ORACLE["operational_metrics"].replace("STATUS", ORACLE["version_status"])
+
+# The stored report says what its JSON form says.
+ORACLE["report_stored"] = ORACLE["quality_json"]

@@ -11,11 +11,12 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import decimal_point
-from ..operators import clean, quality, sinks, versions
+from ..operators import clean, quality, sinks, snapshots, versions
 from ..operators import aggregates as agg
 from ..operators.normalize import metric_exclusions, metric_rows, normalize, type_rows
 from ..sources import canonical, delimited, registry, textsalvage, workbook
@@ -311,8 +312,7 @@ def stage_log(spark, d):
 def geo_job(spark, d):
     """The stored geo table, from a stored region directory."""
     root = _ingested(spark, d)
-    features = parse_features(adapters.region_features(spark, d))
-    sinks.refresh_regions(features, region_table(features), f"{root}/regions")
+    sinks.refresh_regions(parse_features(adapters.region_features(spark, d)), region_table, f"{root}/regions")
     jobs.build_geo(spark, root, "v1", 6.0)
     table = spark.read.parquet(f"{root}/flights_geo").where("dataset_version = 'v1'")
     return table.groupBy("region_code").agg(F.count("*").alias("flights"))
@@ -320,12 +320,27 @@ def geo_job(spark, d):
 
 @query
 def region_refresh(spark, d):
-    """The region directory after it was replaced twice."""
+    """The region directory after it was replaced, after a refresh that fails on one feature, and after old data went."""
     path = scratch_path(spark, "regions")
     features = parse_features(adapters.region_features(spark, d))
     for _ in range(2):
-        sinks.refresh_regions(features, region_table(features), path)
-    return spark.read.parquet(path).select("code", "name", F.size("edges").alias("edge_count"))
+        sinks.refresh_regions(features, region_table, path)
+    wrong = F.when(F.col("ord") % 7 == 3, F.lit("Point")).otherwise(F.col("geometry.type"))
+    broken = features.withColumn("geometry", F.col("geometry").withField("type", wrong))
+    try:
+        sinks.refresh_regions(broken, region_table, path)
+    except PySparkException as failure:
+        if "no polygon in the geometry" not in str(failure):
+            raise
+    snapshots.vacuum(spark, path, keep=1)
+    return sinks.read_regions(spark, path).select("code", "name", F.size("edges").alias("edge_count"))
+
+
+@query
+def report_stored(spark, d):
+    """The stored report of a version that was validated twice, with the checks' findings."""
+    report = sinks.read_version(spark, f"{_lake(spark, d)}/quality_report", "v1")
+    return report.select("dataset_version", "check_name", "status", F.col("impacted_records").cast("bigint").alias("impacted_records"))
 
 
 @query

@@ -173,7 +173,7 @@ def build_aggregates(spark: SparkSession, root: str, version: str, year: int | N
 def build_geo(spark: SparkSession, root: str, version: str, degrees: float = 1.0) -> DataFrame:
     """The geo table of a stored version, from the stored region directory."""
     flights = quality.counted_flights(read_flights(spark, f"{root}/flights", version))
-    cells = staged(geo.region_cells(spark.read.parquet(f"{root}/regions"), degrees), "cells")
+    cells = staged(geo.region_cells(sinks.read_regions(spark, f"{root}/regions"), degrees), "cells")
     table = geo.flights_geo(geo.assign_regions(flights, cells, degrees), version)
     sinks.write_version(table.drop("dataset_version"), f"{root}/flights_geo", version)
     return spark.read.parquet(f"{root}/flights_geo").where(F.col("dataset_version") == version)
@@ -195,5 +195,4 @@ def build_insights(spark: SparkSession, root: str, version: str) -> DataFrame:
 
 def load_regions(spark: SparkSession, paths: str | list[str], root: str) -> int:
     """Replace the region directory by the features of GeoJSON files."""
-    features = read_features(spark, paths)
-    return sinks.refresh_regions(features, region_table(features), f"{root}/regions")
+    return sinks.refresh_regions(read_features(spark, paths), region_table, f"{root}/regions")

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import csv
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import blank_to_null
 from ..schema import RAW_COLUMNS, header_name, target_of, unique_names
+from .quoted import read_records
 
 
 #: Different header lines that one load may mix.
@@ -42,16 +43,25 @@ def _cells(header_line: str) -> list[str]:
     return next(csv.reader([header_line.removeprefix("\ufeff")]), [])
 
 
-def _read(spark: SparkSession, paths: list[str], header: list[str], verify: bool, broken: bool = False) -> DataFrame:
-    """Rows of files with this header; `verify` makes Spark compare it with every file.
-
-    `broken` files have line breaks in cells; each of them is read by one task.
-    """
+def _read(spark: SparkSession, paths: list[str], header: list[str], verify: bool) -> DataFrame:
+    """Rows of files with this header; `verify` makes Spark compare it with every file."""
     names = header if verify else [f"c{i}" for i in range(len(header))]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')
-    rows = reader.option("multiLine", broken).option("enforceSchema", not verify).schema(schema).csv(paths)
-    return _named(rows, header)
+    rows = reader.option("enforceSchema", not verify).schema(schema).csv(paths)
+    place = F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()
+    return _named(rows, rows.columns, header, *place)
+
+
+def _read_broken(spark: SparkSession, paths: list[str], header: list[str]) -> DataFrame:
+    """Rows of files with line breaks in cells: their blocks are joined to records, which are parsed like lines."""
+    names = [f"c{i}" for i in range(len(header))]
+    records = read_records(spark, paths).where((F.col("block") > 0) | (F.col("line") > 0))
+    record = F.regexp_replace(F.replace("record", F.lit("\r\n"), F.lit("\n")), r"\r\z", "")
+    schema = ", ".join(f"{n} string" for n in names)
+    cells = F.from_csv(record, schema, {"quote": '"', "escape": '"', "multiLine": "true"})
+    rows = records.where(F.trim(record) != "").select("path", "block", "line", cells.alias("cells")).select("*", "cells.*")
+    return _named(rows, names, header, F.col("path"), F.col("block"), F.col("line"))
 
 
 def scan_delimited(
@@ -60,7 +70,7 @@ def scan_delimited(
     """Rows of CSV files: all columns as text under snake_case names, plus source columns.
 
     A first text scan looks at headers and quotes. Files are then read in groups of equal
-    header; those with quoted line breaks are read whole by one task each, all others split.
+    header, in blocks; where quoted cells hold line breaks, blocks are joined to records first.
     With `mixed_headers` and `line_breaks` off that scan is left out: every file must have
     the header of the first one, which Spark verifies while it reads. The null tokens become null.
     """
@@ -76,22 +86,18 @@ def scan_delimited(
         raise ValueError(f"files with different headers: {sorted(h for h, _ in looks)[:2]}")
     out = None
     for (line, broken), files in looks.items():
-        part = _read(spark, files, _cells(line), verify=False, broken=broken)
+        part = _read_broken(spark, files, _cells(line)) if broken else _read(spark, files, _cells(line), verify=False)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
 
 
-def _named(df: DataFrame, header: list[str]) -> DataFrame:
+def _named(df: DataFrame, columns: list[str], header: list[str], path: Column, block: Column, line: Column) -> DataFrame:
     names = unique_names([header_name(h) for h in header])
-    order = F.struct(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line"),
-    )
-    cells = [blank_to_null(F.col(f"`{c.replace('`', '``')}`")).alias(n) for c, n in zip(df.columns, names)]
+    order = F.struct(path.alias("path"), block.alias("block"), line.alias("line"))
+    cells = [blank_to_null(F.col(f"`{c.replace('`', '``')}`")).alias(n) for c, n in zip(columns, names)]
     return df.select(
         *cells,
-        F.col("_metadata.file_path").alias("_src_path"),
+        path.alias("_src_path"),
         F.lit(None).cast("string").alias("_src_tz"),
         F.lit(False).alias("_src_degraded"),
         order.alias("_row_ord"),

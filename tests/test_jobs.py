@@ -103,7 +103,12 @@ def test_region_refresh_replaces(spark, tmp_path):
     root = str(tmp_path / "lake")
     assert jobs.load_regions(spark, write(tmp_path, "r.json", collection("77", "78", "78")), root) == 3
     assert jobs.load_regions(spark, write(tmp_path, "s.json", collection("79")), root) == 1
-    assert [r.code for r in spark.read.parquet(f"{root}/regions").collect()] == ["79"]
+    assert [r.code for r in sinks.read_regions(spark, f"{root}/regions").collect()] == ["79"]
+    # A collection that fails half way leaves the table as it was.
+    broken = {"features": [*json.loads(collection("80"))["features"], {"properties": {"code": "81", "name": "81"}, "geometry": {"type": "Point", "coordinates": [0, 0]}}]}
+    with pytest.raises(Exception, match="no polygon"):
+        jobs.load_regions(spark, write(tmp_path, "t.json", json.dumps(broken)), root)
+    assert [r.code for r in sinks.read_regions(spark, f"{root}/regions").collect()] == ["79"]
 
 
 def test_scratch_folder_comes_from_the_session(spark):
