@@ -18,9 +18,10 @@ from __future__ import annotations
 
 import hashlib
 import json
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ from skyledger.llm.texts import Lookup
 #: Bytes of text whose new words are encoded together, which costs much less than doing so in small groups.
 GROUP_BYTES = 6 << 20
 #: Encoded words that one Python worker remembers, twice: recent ones and those before.
-MEMORY_WORDS = 150_000
+MEMORY_WORDS = 200_000
 #: Words that go through the automaton side by side.
 SIDE_BY_SIDE = 40_000
 #: Longer words are encoded one by one, each time they come.
@@ -312,9 +313,8 @@ class Coder:
 
         Only distinct words are held as strings, all others as their numbers.
         """
-        number: dict[str, int] = {}
-        new = number.setdefault
-        parts = [[(np.array([new(w, len(number)) for w in words], np.int32), after) for words, after in self._parts(t)] for t in text]
+        number: defaultdict[str, int] = defaultdict(count().__next__)
+        parts = [[(np.array(list(map(number.__getitem__, words)), np.int32), after) for words, after in self._parts(t)] for t in text]
         known = self.memory.of(set(number))
         get = [known[w] for w in number].__getitem__
         return [b"".join(chain.from_iterable((*map(get, words.tolist()), after) for words, after in x)) for x in parts]
