@@ -105,3 +105,6 @@ ORACLE["operational_metrics"] = ORACLE["operational_metrics"].replace("STATUS",
 
 # The stored report says what its JSON form says.
 ORACLE["report_stored"] = ORACLE["quality_json"]
+ORACLE["redelivered_files"] = f"""WITH {_STORED}
+    SELECT flight_id, start_time_utc, CASE WHEN k % 4 = 0 THEN 'again' ELSE vehicle_category END AS vehicle_category, superseded
+    FROM norm WHERE k % 4 <> 1"""

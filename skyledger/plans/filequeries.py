@@ -21,7 +21,7 @@ from ..operators import aggregates as agg
 from ..operators.normalize import metric_exclusions, metric_rows, normalize, type_rows
 from ..sources import canonical, delimited, registry, textsalvage, workbook
 from ..sources.regions import parse_features, region_table
-from ..streaming import incremental
+from ..streaming import changes, incremental
 from . import adapters, jobs
 from .queries import QUERIES, assigned, query, stored_flights
 from .staging import scratch_path, staged
@@ -442,6 +442,41 @@ def incremental_files(spark, d):
     return spark.read.parquet(tables.flights).select("flight_id", "start_time_utc", "end_time_utc", "superseded")
 
 
+def _redelivered(spark: SparkSession, d: str) -> str:
+    """A landing folder ingested twice: in between one quarter of the files comes again under its names, one goes, one arrives.
+
+    Quarters by key: 0 comes again with another vehicle category, 1 goes, 2 stays, 3 arrives late.
+    """
+    root = scratch_path(spark, "redelivery")
+    tables = incremental.Tables(f"{root}/tables")
+    rows = _first_reports(spark, d).withColumn("k", F.col("_row_ord.key")).drop("_row_ord")
+    files = spark._jvm.org.apache.hadoop.fs.Path
+    fs = files(root).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def deliver(quarter: int, name: str, part: DataFrame) -> list:
+        part.where(f"k % 4 = {quarter}").drop("k").repartition(3, "end_time").write.option("header", True).option("escape", '"').csv(f"{root}/{name}")
+        return sorted((f.getPath() for f in fs.listStatus(files(f"{root}/{name}")) if f.getPath().getName().startswith("part-")), key=lambda f: f.getName())
+
+    first = [deliver(q, f"landing/{q}", rows) for q in (0, 1, 2)]
+    checks = [quality.SchemaCheck()]
+    changes.ingest_changes(spark, f"{root}/landing", tables, "*.csv", checks)
+    again = deliver(0, "again", rows.withColumn("vehicle_category", F.lit("again")))
+    for old, new in zip(first[0], again, strict=True):
+        fs.delete(old, False)
+        fs.rename(new, old)
+    fs.delete(files(f"{root}/landing/1"), True)
+    deliver(3, "landing/3", rows)
+    changes.ingest_changes(spark, f"{root}/landing", tables, "*.csv", checks)
+    return tables.root
+
+
+@query
+def redelivered_files(spark, d):
+    """Flights after files came again under their names, and went."""
+    tables = incremental.Tables(_redelivered(spark, d))
+    return spark.read.parquet(tables.flights).select("flight_id", "start_time_utc", "vehicle_category", "superseded")
+
+
 @query
 def quality_gate(spark, d):
     """Rows that the gate let through and rows that it held back."""

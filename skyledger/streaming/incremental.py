@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..operators import aggregates, insights, quality
+from ..operators import aggregates, insights, quality, snapshots
 from ..operators.normalize import flag_superseded, is_valid, metric_rows, type_rows
 from ..schema import CANONICAL
 from ..plans.staging import staged
@@ -50,6 +51,10 @@ class Tables:
     def quality(self) -> str:
         return f"{self.root}/quality_report"
 
+    @property
+    def retractions(self) -> str:
+        return f"{self.root}/retractions"
+
     @property
     def events(self) -> str:
         return f"{self.root}/events_log"
@@ -82,9 +87,14 @@ def _event(spark: SparkSession, name: str, batch_id: int, records: int, status:
     )
 
 
-def process_batch(batch: DataFrame, batch_id: int, tables: Tables, checks: list[quality.Check] | None = None) -> None:
+def process_batch(
+    batch: DataFrame, batch_id: int, tables: Tables, checks: list[quality.Check] | None = None, replaced: DataFrame | None = None
+) -> None:
     """One micro-batch: store it, gate on quality, settle supersession, refresh aggregates.
 
+    `replaced` (path) are files of the batch whose rows of earlier batches no longer count
+    once it has passed the gate.
+
     Rows go to a partition per batch, so a repeated batch overwrites itself. Typed rows
     keep the batch number as `ingested_at`; a re-issued flight supersedes the earlier one
     however late it comes, by recomputing the (year, month) partitions it falls into.
@@ -127,7 +137,10 @@ def process_batch(batch: DataFrame, batch_id: int, tables: Tables, checks: list[
         _overwrite(good.withColumn("batch_id", F.lit(batch_id)), f"{tables.root}/quarantine", "batch_id")
     else:
         _overwrite(good.withColumn("batch_id", F.lit(batch_id)), tables.reports, "year", "month", "batch_id")
-        recompute(spark, good, tables)
+        touched = good.select("year", "month")
+        if replaced is not None:
+            touched = touched.union(_retracted(spark, replaced, batch_id, tables))
+        recompute(spark, touched, tables)
         log.append(_event(spark, "aggregates.built", batch_id, records, status))
         refresh_insights(spark, tables)
         log.append(_event(spark, "insights.ready", batch_id, records, status))
@@ -148,21 +161,65 @@ def touched_months(table: DataFrame, months: list[tuple[int, int]]) -> DataFrame
     return table.where(F.col("year").isin(years) & code.isin(sorted(y * 12 + m for y, m in months)))
 
 
+def plain_path(path: str) -> Column:
+    """A path with one slash behind its scheme; scans and listings write it differently."""
+    return F.regexp_replace(path, r"^(\w+):/+", "$1:/")
+
+
+def retract(spark: SparkSession, files: DataFrame, batch_id: int, tables: Tables) -> None:
+    """Rows of the files (path) from batches before this one no longer count."""
+    recompute(spark, _retracted(spark, files, batch_id, tables), tables)
+    refresh_insights(spark, tables)
+
+
+def _retracted(spark: SparkSession, files: DataFrame, batch_id: int, tables: Tables) -> DataFrame:
+    """Notes the retraction; returns the (year, month) of the rows concerned."""
+    noted = files.select(plain_path("path").alias("path"), F.lit(batch_id).cast("long").alias("before"))
+    snapshots.publish(noted, tables.retractions, uuid.uuid4().hex)
+    reports = spark.read.parquet(tables.reports).where(F.col("batch_id") < batch_id)
+    mine = reports.withColumn("_path", plain_path("_src_path")).join(noted.select(F.col("path").alias("_path")), "_path", "left_semi")
+    return mine.select("year", "month").distinct()
+
+
+def counting(spark: SparkSession, reports: DataFrame, tables: Tables) -> DataFrame:
+    """The stored reports without those of files that were replaced or taken back."""
+    if "_src_path" not in reports.columns or not snapshots.exists(spark, tables.retractions):
+        return reports
+    last = snapshots.read(spark, tables.retractions).groupBy(F.col("path").alias("_path")).agg(F.max("before").alias("_before"))
+    named = reports.withColumn("_path", plain_path("_src_path"))
+    old = (named["_path"] == last["_path"]) & (named["batch_id"] < last["_before"])
+    return named.join(last, old, "left_anti").drop("_path")
+
+
 def recompute(spark: SparkSession, arrived: DataFrame, tables: Tables) -> None:
     """Redo supersession for the months the arrived rows touch, aggregates for their years.
 
     Reports and flights are partitioned by year and month, so only touched partitions are read.
+    Months and years that have no rows left go.
     """
     # Twelve rows a year at most, as many years as a timestamp has.
     months = [(r.year, r.month) for r in arrived.select("year", "month").distinct().toLocalIterator()]
-    reports = touched_months(spark.read.parquet(tables.reports), months)
+    if not months:
+        return
+    reports = counting(spark, touched_months(spark.read.parquet(tables.reports), months), tables)
     flights = flag_superseded(reports.drop("batch_id"))
     _overwrite(flights.select(*CANONICAL, "year", "month"), tables.flights, "year", "month")
+    left = {(r.year, r.month) for r in reports.select("year", "month").distinct().toLocalIterator()}
+    for year, month in set(months) - left:
+        _drop(spark, f"{tables.flights}/year={year}/month={month}")
     years = sorted({y for y, _ in months})
     stored = spark.read.parquet(tables.flights).where(F.col("year").isin(years)).select(*CANONICAL)
     metrics = metric_rows(stored)
-    _overwrite(aggregates.aggregates_year(metrics), tables.aggregates, "year")
-    _overwrite(aggregates.aggregates_month(metrics, by_vehicle=False), tables.months, "year")
+    for table, path in ((aggregates.aggregates_year(metrics), tables.aggregates), (aggregates.aggregates_month(metrics, by_vehicle=False), tables.months)):
+        _overwrite(table, path, "year")
+        kept = {r.year for r in table.select("year").distinct().toLocalIterator()}
+        for year in set(years) - kept:
+            _drop(spark, f"{path}/year={year}")
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def refresh_insights(spark: SparkSession, tables: Tables) -> None:
