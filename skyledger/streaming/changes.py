@@ -22,7 +22,7 @@ _MANIFEST = "path string, length bigint, modified timestamp, checksum string"
 
 
 def listing(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
-    """(path, length, modified) of the files below a folder; contents are not read."""
+    """(path, length, modified) of the files below a folder; contents are not read. Empty files are as if not there."""
     schema = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
     files = spark.read.format("binaryFile").schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
     return files.load(folder).select("path", "length", F.col("modificationTime").alias("modified"))

@@ -30,7 +30,8 @@ def test_kinds_of_changes(spark, tmp_path):
     os.utime(folder / "b.csv", (1, 1))
     os.utime(folder / "c.csv", (1, 1))
     (folder / "d.csv").unlink()
-    (folder / "e.csv").write_text("")
+    (folder / "e.csv").write_text("x\n")
+    (folder / "empty.csv").write_text("")
     (folder / "note.txt").write_text("not matched")
     found = step()
     assert kinds(found) == {"a.csv": "changed", "b.csv": "changed", "c.csv": "same", "d.csv": "removed", "e.csv": "added"}
