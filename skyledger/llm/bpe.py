@@ -34,9 +34,9 @@ from skyledger.llm.staging import inputs
 from skyledger.llm.texts import Lookup
 
 #: Bytes of text whose new words are encoded together, which costs much less than doing so in small groups.
-GROUP_BYTES = 6 << 20
+GROUP_BYTES = 3 << 20
 #: Encoded words that one Python worker remembers, twice: recent ones and those before.
-MEMORY_WORDS = 200_000
+MEMORY_WORDS = 120_000
 #: Words that go through the automaton side by side.
 SIDE_BY_SIDE = 40_000
 #: Longer words are encoded one by one, each time they come.

@@ -5,6 +5,8 @@ All helpers run inside tasks on one chunk of a few MB. A null text is an empty o
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
@@ -64,10 +66,21 @@ def chunks(batches: Iterable[pa.RecordBatch], column: str, limit: int = CHUNK_BY
 _kept: dict[str, object] = {}
 
 
+def _release() -> None:
+    """Gives freed memory back to the machine, where the C library can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def kept(key: str, build: Callable[[], object]):
     """What one operator keeps in a Python worker between tasks; the next operator's takes its place."""
     if key not in _kept:
-        _kept.clear()
+        if _kept:
+            _kept.clear()
+            _release()
         _kept[key] = build()
     return _kept[key]
 
