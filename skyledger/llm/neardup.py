@@ -14,6 +14,10 @@
 At a similarity of 0.75 a pair has fewer than 30 of 64 collisions with probability below 1e-5;
 all that have them are confirmed exactly.
 
+Texts travel only where their id may be wanted: a filter of FILTER_BITS bits, whatever the size
+of the input, tells which ids surely are not. A full filter lets all rows through to the join
+that decides.
+
 Null or empty texts have no shingles and link with nothing; rows without an id neither, and
 their component is null. Rows that repeat a doc_id count as
 one document. An empty table gives no rows; other columns of the input play no part.
@@ -25,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm import shingles, texts
@@ -40,6 +44,8 @@ PERCENT = 75
 LIST_BLOCK = 1024
 CLUSTER_BLOCK = 256
 CLUSTER_SHINGLES = 400_000
+#: Bits of the filter of ids, a multiple of the 32768 of one block; 8 MB are broadcast at most.
+FILTER_BITS = 1 << 26
 
 _COORDINATE = texts.mix(np.arange(1, shingles.COORDINATES + 1, dtype=np.uint64) * np.uint64(0xE7037ED1A0B428DB))
 
@@ -68,12 +74,32 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def _postings(sets: DataFrame) -> DataFrame:
-    """(token, n, id, tokens): prefix postings of sets that may have partners."""
+    """(token, n, id, digest): prefix postings of sets that may have partners.
+
+    A digest holds the low 16 bits of each token; a chance match only makes a candidate more.
+    """
     posted = sets.select("id", F.explode("tokens").alias("token"))
     shared = posted.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     own = posted.join(shared, "token").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("own"))
     own = own.where(F.size("own") >= MATCHES).select("id", F.slice("own", F.lit(1), F.size("own") - MATCHES + 1).alias("own"))
-    return own.join(sets, "id").select("id", "tokens", F.explode("own").alias("p")).select("p.token", "p.n", "id", "tokens")
+    digest = F.transform("tokens", lambda t: F.shiftright(F.shiftleft(t, 48), 48).cast("smallint"))
+    digests = sets.select("id", digest.alias("digest"))
+    return own.join(digests, "id").select("id", "digest", F.explode("own").alias("p")).select("p.token", "p.n", "id", "digest")
+
+
+def _filtered(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows with `maybe`: false for those whose id surely is not in `ids`."""
+
+    def place(c: str) -> Column:
+        return F.pmod(F.xxhash64(c), F.lit(FILTER_BITS)) + 1
+
+    block, bit = F.bitmap_bucket_number(place("id")), F.bitmap_bit_position(place("id"))
+    own = ids.select(block.alias("_block"), bit.alias("_bit")).repartition("_block")
+    bits = staged(own.groupBy("_block").agg(F.bitmap_construct_agg("_bit").alias("_bits")), "filter")
+    met = rows.withColumn("_block", block).join(F.broadcast(bits), "_block", "left")
+    byte = F.conv(F.hex(F.substr("_bits", (F.shiftright(bit, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    maybe = F.col("id").isNotNull() & F.coalesce(F.getbit(byte, (bit % 8).cast("int")) == 1, F.lit(False))
+    return met.withColumn("maybe", maybe).drop("_block", "_bits")
 
 
 def _in_blocks(rows: DataFrame, blocks, seed: str) -> DataFrame:
@@ -114,7 +140,7 @@ def _collisions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Stars of sets in one list whose signatures collide MATCHES times."""
     for batch, bounds in whole_groups(batches, ["token", "i", "j"]):
         ids, block = batch.column("id").to_numpy(), batch.column("block").to_numpy()
-        digest = batch.column("tokens").flatten().to_numpy().reshape(len(ids), -1).astype(np.uint16)
+        digest = batch.column("digest").flatten().to_numpy().reshape(len(ids), -1)
         sizes = np.diff(bounds)
         two = bounds[:-1][sizes == 2]
         hit = two[((digest[two] == digest[two + 1]).sum(axis=1) >= MATCHES) & (ids[two] != ids[two + 1])]
@@ -203,13 +229,13 @@ def _named(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     sets = staged(sketch.where("n_shingles > 0 AND id IS NOT NULL").groupBy("print").agg(whole).select("print", "s.*"), "sets")
 
     lists = _in_blocks(_postings(sets), F.ceil(F.col("n") / LIST_BLOCK), "id")
-    loose = _sorted_groups(lists, "token").select("token", "i", "j", "id", "block", "tokens").mapInArrow(_collisions, "u bigint, v bigint")
+    loose = _sorted_groups(lists, "token").select("token", "i", "j", "id", "block", "digest").mapInArrow(_collisions, "u bigint, v bigint")
     clusters = staged(components(loose), "clusters").withColumnsRenamed({"node": "id", "component": "cluster"})
 
     members = clusters.join(sets.select("id", "n_shingles", "print"), "id")
     blocks = F.greatest(F.ceil(F.count(F.lit(1)) / CLUSTER_BLOCK), F.ceil(F.sum("n_shingles") / CLUSTER_SHINGLES))
     members = members.join(members.groupBy("cluster").agg(blocks.alias("blocks")), "cluster").select("id", "cluster", "blocks", "print")
-    with_text = rows.join(members, "id")
+    with_text = _filtered(rows, clusters.select("id")).where("maybe").join(members, "id")
     full = _in_blocks(_with_sets(with_text), F.col("blocks"), "id")
     links = _sorted_groups(full, "cluster").select("cluster", "i", "j", "id", "block", "shingles").mapInArrow(_links, "u bigint, v bigint")
     firsts = sets.select("print", F.col("id").alias("first"))
@@ -256,11 +282,15 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     id has that set. Rows without an id and without words stay. Columns may have any name.
     """
     named = staged(_named(docs, id_col, text_col).select("id", "print", F.expr("id <> component").alias("gone")), "named")
-    ids = named.where("id IS NOT NULL").groupBy("id").agg(F.max("gone").alias("gone"), F.count(F.lit(1)).alias("n")).where("NOT gone")
+    ids = named.where("id IS NOT NULL").groupBy("id").agg(F.max("gone").alias("gone"), F.count(F.lit(1)).alias("n"))
+    ids = staged(ids.where("gone OR n > 1"), "judged")
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    flagged = _filtered(rows, ids.select("id"))
+    clear = flagged.where("id IS NOT NULL AND NOT maybe")
     # Both joins shuffle the rows alike, so Spark moves them once.
-    once = rows.join(ids.where("n = 1").select("id"), "id")
-    again = rows.join(ids.where("n > 1").select("id"), "id")
+    judged = flagged.where("maybe").select("id", "row")
+    once = judged.join(ids.select("id"), "id", "left_anti")
+    again = judged.join(ids.where("NOT gone").select("id"), "id")
     text = F.col("row").getField(text_col)
     wordless = ~F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     nameless = rows.where("id IS NULL")
@@ -270,4 +300,4 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     left = left.groupBy("id", "print").agg(F.min("row").alias("row"))
     known = named.where("id IS NOT NULL AND print IS NOT NULL").select(F.col("print").alias("known"))
     left = left.join(known, left["id"].isNull() & (left["print"] == known["known"]), "left_anti")
-    return once.select("row").union(left.select("row")).union(nameless.where(wordless).select("row")).select("row.*")
+    return clear.select("row").union(once.select("row")).union(left.select("row")).union(nameless.where(wordless).select("row")).select("row.*")
