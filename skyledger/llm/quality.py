@@ -218,13 +218,14 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, label_col: str = "q
     """Word vectors from all documents where `learn` (on column `id`) holds, labels from a sample of them."""
     rows = inputs(docs, id=id_col, text=text_col).where(learn)
     words = word_vectors(rows)
-    marked = inputs(labels, id=id_col, label=label_col).where(learn & F.col("label").isin(0, 1))
+    # A label counts once per id, and a document once per id and label, however often their rows repeat.
+    marked = inputs(labels, id=id_col, label=label_col).where(learn & F.col("id").isNotNull() & F.col("label").isin(0, 1)).distinct()
     sizes = {r["label"]: r["count"] for r in marked.groupBy("label").count().collect()}
     share = {label: min(1.0, sample_rows / count) for label, count in sizes.items()}
     chosen = F.lit(0.0)
     for label, part in share.items():
         chosen = F.when(F.col("label") == label, part).otherwise(chosen)
-    sample = marked.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < chosen * (1 << 20))
+    sample = marked.where(F.pmod(F.xxhash64("id"), F.lit(1 << 53)) < chosen * (1 << 53))
     shared = rows.sparkSession.sparkContext.broadcast(words)
 
     def pool(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,7 +235,8 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, label_col: str = "q
 
     # The sample is bounded by sample_rows per label, so it may be sent to all tasks.
     met = rows.join(F.broadcast(sample), "id").select(F.col("id").cast("string").alias("id"), F.col("label").cast("int").alias("label"), "text")
-    found = sorted(met.mapInArrow(pool, "id string, label int, x binary").collect(), key=lambda r: (r.id, r.label, r.x))
+    pooled = met.mapInArrow(pool, "id string, label int, x binary").groupBy("id", "label").agg(F.min("x").alias("x"))
+    found = sorted(pooled.collect(), key=lambda r: (r.id, r.label))
     x = np.array([np.frombuffer(r.x, "<f8") for r in found]).reshape(len(found), DIMENSIONS + 3)
     y = np.array([r.label for r in found], np.int64)
     return Model(words, fit(x, y, np.array([1 / share[r.label] for r in found])))
