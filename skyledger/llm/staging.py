@@ -2,12 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.plans.staging import staged
 
-__all__ = ["id_hash_mod", "staged", "forgotten", "inputs"]
+__all__ = ["id_hash_mod", "staged", "forgotten", "inputs", "small_batches"]
+
+#: Bytes of rows that go to a Python worker at once inside `small_batches`; a longer row goes alone.
+BATCH_BYTES = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs that run inside send BATCH_BYTES to Python at once, which bounds both sides' buffers."""
+    before = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH, before)
 
 
 def id_hash_mod(column: Column, modulus: int) -> Column:
