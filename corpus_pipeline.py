@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from skyledger.llm import bpe, decontaminate, language, neardup, secret_scan
 from skyledger.llm.queries import byte_bpe_path, table
-from skyledger.llm.staging import id_hash_mod, staged
+from skyledger.llm.staging import id_hash_mod, small_batches, staged
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -61,6 +61,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole table."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    with small_batches(spark):
+        for name, stage in STAGES:
+            docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs
