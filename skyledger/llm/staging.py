@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,20 +9,24 @@ from skyledger.plans.staging import staged
 
 __all__ = ["id_hash_mod", "staged", "forgotten", "inputs", "small_batches"]
 
-#: Bytes of rows that go to a Python worker at once inside `small_batches`; a longer row goes alone.
+#: Bytes of rows that go to a Python worker at once; a longer row goes alone.
 BATCH_BYTES = 4 << 20
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-@contextmanager
-def small_batches(spark: SparkSession) -> Iterator[None]:
-    """Jobs that run inside send BATCH_BYTES to Python at once, which bounds both sides' buffers."""
-    before = spark.conf.get(_BATCH)
-    spark.conf.set(_BATCH, str(BATCH_BYTES))
-    try:
-        yield
-    finally:
-        spark.conf.set(_BATCH, before)
+def small_batches(spark: SparkSession) -> None:
+    """Lets the session send at most BATCH_BYTES to Python at once, which bounds both sides' buffers.
+
+    It stays set, because rows are sent when a plan runs, not when it is made. A limit that the
+    user has set is kept.
+    """
+    if spark.conf.get(_BATCH) == _unset(spark):
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
+
+
+def _unset(spark: SparkSession) -> str:
+    fresh = spark.newSession()
+    return fresh.conf.get(_BATCH)
 
 
 def id_hash_mod(column: Column, modulus: int) -> Column:
