@@ -21,27 +21,32 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without letters and those whose language is less likely than not."""
+    small_batches(spark)
     model = language.train(docs, id_hash_mod(F.col("doc_id"), 5) != 0)
     return language.kept(docs, model)
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each component."""
+    small_batches(spark)
     return neardup.deduplicated(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts benchmark passages out; drops documents that mostly consist of them."""
+    small_batches(spark)
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces secrets by their kind."""
+    small_batches(spark)
     return secret_scan.mask(docs)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens and the ids of each document's text."""
+    small_batches(spark)
     rows = bpe.encoded(docs, byte_bpe_path())
     return rows.select("doc_id", "lang", "source", F.size("token_ids").cast("bigint").alias("n_tokens"), "token_ids")
 
@@ -61,7 +66,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole table."""
     docs = table(spark, sf_dir, "documents")
-    with small_batches(spark):
-        for name, stage in STAGES:
-            docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    for name, stage in STAGES:
+        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs
