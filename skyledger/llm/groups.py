@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skyledger.llm import texts
 from skyledger.llm.staging import forgotten, staged
 
 
@@ -28,6 +29,8 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator
         held = [batch.slice(last)]
     if held:
         yield _grouped(held, keys)
+    held.clear()
+    texts.trim()
 
 
 def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
@@ -109,6 +112,8 @@ def _locally_merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     pairs = [(x, find(x)) for x in list(parent)]
     pairs = [p for p in pairs if p[0] != p[1]]
     yield pa.RecordBatch.from_pydict({"u": pa.array([p[0] for p in pairs], pa.int64()), "v": pa.array([p[1] for p in pairs], pa.int64())})
+    parent.clear()
+    texts.trim()
 
 
 def components(links: DataFrame) -> DataFrame:

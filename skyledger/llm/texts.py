@@ -50,8 +50,16 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return [t or b"" for t in column.cast(pa.large_binary()).to_pylist()]
 
 
+def trim() -> None:
+    """Gives freed memory back to the machine, where the C library can, so that idle workers hold little."""
+    pa.default_memory_pool().release_unused()
+    give_back = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if give_back is not None:
+        give_back(0)
+
+
 def chunks(batches: Iterable[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of the batches with about `limit` bytes of text each."""
+    """Slices of the batches with about `limit` bytes of text each; freed memory goes back at the end of the input."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -61,26 +69,19 @@ def chunks(batches: Iterable[pa.RecordBatch], column: str, limit: int = CHUNK_BY
         cuts = np.flatnonzero(np.diff(part)) + 1
         for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
             yield batch.slice(a, b - a)
+    trim()
 
 
 _kept: dict[str, object] = {}
 
 
-def _release() -> None:
-    """Gives freed memory back to the machine, where the C library can."""
-    gc.collect()
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim is not None:
-        trim(0)
-
-
 def kept(key: str, build: Callable[[], object]):
     """What one operator keeps in a Python worker between tasks; the next operator's takes its place."""
     if key not in _kept:
         if _kept:
             _kept.clear()
-            _release()
+            gc.collect()
+            trim()
         _kept[key] = build()
     return _kept[key]
 
