@@ -9,8 +9,8 @@ vectors, frequent ones with less weight, next to three rates: repeated neighbour
 length. A network with one hidden layer maps it to a probability; its temperature is set on a
 part of the labelled sample that the weights did not see.
 
-Labels are learned from at most about SAMPLE_ROWS documents per label, chosen by a hash of the
-id, weighted back to their true shares. Null, empty and blank texts have the zero vector and get a score
+Labels are learned from at most about SAMPLE_ROWS documents per label, chosen by a hash of
+id and text, weighted back to their true shares. Null, empty and blank texts have the zero vector and get a score
 too. Without labels the score is 0.5, with one kind only it is that kind's. Rows of one id
 with different labels all count. Texts are read whole.
 """
@@ -30,7 +30,7 @@ from pyspark.sql.types import DoubleType, IntegerType
 
 from skyledger.llm import texts
 from skyledger.llm.language import segment_sums
-from skyledger.llm.staging import id_hash_mod, inputs
+from skyledger.llm.staging import id_hash_mod, inputs, staged
 
 BUCKETS = 1 << 14
 DIMENSIONS = 48
@@ -218,14 +218,16 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, label_col: str = "q
     """Word vectors from all documents where `learn` (on column `id`) holds, labels from a sample of them."""
     rows = inputs(docs, id=id_col, text=text_col).where(learn)
     words = word_vectors(rows)
-    # A label counts once per id, and a document once per id and label, however often their rows repeat.
+    # Labels count once per id and texts once per id and label, however often their rows repeat.
     marked = inputs(labels, id=id_col, label=label_col).where(learn & F.col("id").isNotNull() & F.col("label").isin(0, 1)).distinct()
+    hashed = rows.withColumn("hash", F.xxhash64("text"))
+    marked = staged(hashed.select("id", "hash").distinct().join(marked, "id"), "labelled")
     sizes = {r["label"]: r["count"] for r in marked.groupBy("label").count().collect()}
     share = {label: min(1.0, sample_rows / count) for label, count in sizes.items()}
     chosen = F.lit(0.0)
     for label, part in share.items():
         chosen = F.when(F.col("label") == label, part).otherwise(chosen)
-    sample = marked.where(F.pmod(F.xxhash64("id"), F.lit(1 << 53)) < chosen * (1 << 53))
+    sample = marked.where(F.pmod(F.xxhash64("id", "hash"), F.lit(1 << 53)) < chosen * (1 << 53))
     shared = rows.sparkSession.sparkContext.broadcast(words)
 
     def pool(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,9 +236,9 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, label_col: str = "q
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("label"), pa.array([r.tobytes() for r in x], pa.binary())], ["id", "label", "x"])
 
     # The sample is bounded by sample_rows per label, so it may be sent to all tasks.
-    met = rows.join(F.broadcast(sample), "id").select(F.col("id").cast("string").alias("id"), F.col("label").cast("int").alias("label"), "text")
-    pooled = met.mapInArrow(pool, "id string, label int, x binary").groupBy("id", "label").agg(F.min("x").alias("x"))
-    found = sorted(pooled.collect(), key=lambda r: (r.id, r.label))
+    met = hashed.join(F.broadcast(sample), ["id", "hash"]).select(F.col("id").cast("string").alias("id"), F.col("label").cast("int").alias("label"), "text")
+    pooled = met.mapInArrow(pool, "id string, label int, x binary").distinct()
+    found = sorted(pooled.collect(), key=lambda r: (r.id, r.label, r.x))
     x = np.array([np.frombuffer(r.x, "<f8") for r in found]).reshape(len(found), DIMENSIONS + 3)
     y = np.array([r.label for r in found], np.int64)
     return Model(words, fit(x, y, np.array([1 / share[r.label] for r in found])))

@@ -75,6 +75,19 @@ def test_quality_on_held_out_rows(spark):
     assert all(r.predicted == (r.score >= 0.7) for r in found)
 
 
+def test_quality_with_repeated_labels_and_documents(spark):
+    """One id with most rows of its label and many documents neither empties nor fills the sample."""
+    rows = [(i, f"{'good plain words' if i % 2 else 'bad noisy stuff'} {i} and {i % 7} more") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id bigint, quality int")
+    for hot in (2, 4, 6):
+        repeated = labels.union(spark.range(20_000).selectExpr(f"{hot}L", "0"))
+        copies = docs.union(spark.range(2_000).selectExpr(f"{hot}L", "'bad noisy stuff again'"))
+        model = quality.train(copies, repeated, F.lit(True), sample_rows=100)
+        score = {r.doc_id: r.score for r in quality.scored(docs, model).collect()}
+        assert np.mean([score[i] for i in range(1, 300, 2)]) > np.mean([score[i] for i in range(0, 300, 2)]) + 0.3
+
+
 def test_quality_of_awkward_rows(spark, docs):
     labels = spark.createDataFrame([(i, int(i < 100), "clash") for i, _, _ in texts() if i is not None and i < 200] + [(0, None, ""), (9999, 1, "")], "doc_id bigint, quality int, text string")
     found = quality.report(docs, labels).collect()
