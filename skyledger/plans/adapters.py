@@ -180,7 +180,7 @@ def report_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("</td></tr><tr><td>G-"), key,
         F.lit("</td><td>never</td></tr></tbody></table><table><tr><td>decoy</td></tr></table></body></html>"),
     ]
-    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"), F.concat(*parts).alias("html"))
+    return spread(table(spark, sf_dir, "orders")).select(F.col("o_orderkey").alias("key"), F.concat(*parts).alias("html"))
 
 
 def damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,13 +200,13 @@ def damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     headers = regions.select(
         *line(r, F.lit(-1), F.lit(0), F.call_function("concat_ws", delimiter(r), *map(F.lit, ("Flight No", "Start", "END", "duration"))))
     )
-    orders = table(spark, sf_dir, "orders")
+    orders = spread(table(spark, sf_dir, "orders"))
     key = F.col("o_orderkey")
     n = key % 5
     when = F.substring(F.col("o_orderdate").cast("string"), 1, 19)
     row = F.call_function("concat_ws", delimiter(n), F.concat(F.lit(" F-"), key.cast("string")), when, when, (key % 90).cast("string"))
     rows = orders.select(*line(n, key, F.lit(0), row))
-    documents = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "t"))
+    documents = spread(table(spark, sf_dir, "documents")).select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "t"))
     noise = documents.select(*line(F.col("doc_id") % 5, F.col("doc_id"), F.col("pos") + 1, F.col("t")))
     return headers.unionByName(rows).unionByName(noise)
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import header_target, strip
+from ..plans.staging import staged
 from ..schema import ALIAS_TO_TARGET
 
 # Delimiters in order of preference.
@@ -52,27 +53,37 @@ def _decoded(value: Column, utf8: Column) -> Column:
     return F.when(utf8, value).otherwise(F.decode(value.cast("binary"), "ISO-8859-1"))
 
 
-def _table_lines(lines: DataFrame) -> DataFrame:
-    """Lines behind the header of their source that hold its delimiter, cut into cells.
+def _headers(lines: DataFrame) -> DataFrame:
+    """One row per source: its first line's place and, null without a header, place, delimiter and cells of the header.
 
-    The header of a source is a pre-aggregated minimum, as are its column targets; AQE
-    chooses how it is joined back.
+    A pre-aggregated minimum, written once: behind it all readers know how small it is.
     """
-    rows = lines.withColumns({"_utf8": F.is_valid_utf8("value"), "_line": strip(F.col("value"))})
+    rows = lines.select("_src_path", "_row_ord", F.is_valid_utf8("value").alias("_utf8"), strip(F.col("value")).alias("_line"))
     first = F.struct("_row_ord", F.col("_line").alias("line"), _header_delimiter(F.col("_line")).alias("d"))
-    headers = rows.groupBy("_src_path").agg(
+    found = rows.groupBy("_src_path").agg(
+        F.min("_row_ord").alias("_first"),
         F.min(F.when(first["d"].isNotNull(), first)).alias("h"),
         F.bool_and("_utf8").alias("_all_utf8"),
     )
-    headers = headers.where("h IS NOT NULL").select(
+    headers = found.select(
         "_src_path",
+        "_first",
         F.col("h._row_ord").alias("_at"),
         F.col("h.d").alias("_delimiter"),
         _fields(F.col("h.line"), F.col("h.d")).alias("header"),
         "_all_utf8",
     )
-    headers = headers.withColumn("_targets", F.transform("header", header_target))
-    joined = lines.join(headers, "_src_path").where(F.col("_row_ord") > F.col("_at"))
+    return staged(headers.withColumn("_targets", F.transform("header", header_target)), "headers")
+
+
+def _table_lines(lines: DataFrame, headers: DataFrame) -> DataFrame:
+    """Lines behind the header of their source that hold its delimiter, cut into cells.
+
+    The written headers, a row per source, are broadcast by their size, so lines of few large
+    sources stay where they are read; only headers beyond that size shuffle both sides.
+    """
+    known = headers.where("_delimiter IS NOT NULL").drop("_first")
+    joined = lines.join(known, "_src_path").where(F.col("_row_ord") > F.col("_at"))
     text = strip(_decoded(F.col("value"), F.col("_all_utf8")))
     # The delimiter is a cheap first test on lines that are no table rows.
     kept = joined.where(F.contains(F.col("value"), F.col("_delimiter")))
@@ -87,7 +98,7 @@ def salvage(lines: DataFrame) -> DataFrame:
     as Latin-1, per source. All rows are marked degraded; `_targets` are the raw columns
     of the header.
     """
-    kept = _table_lines(lines).where(F.size("cells") == F.size("header"))
+    kept = _table_lines(lines, _headers(lines)).where(F.size("cells") == F.size("header"))
     none = F.lit(None).cast("string")
     return kept.select(
         "_src_path",
@@ -103,13 +114,10 @@ def salvage(lines: DataFrame) -> DataFrame:
 
 def salvage_rejects(lines: DataFrame) -> DataFrame:
     """Table lines that the salvage leaves out, and sources without a header, with the reason."""
-    odd = _table_lines(lines).where(F.size("cells") != F.size("header"))
+    headers = _headers(lines)
+    odd = _table_lines(lines, headers).where(F.size("cells") != F.size("header"))
     counts = F.format_string("%d fields, header has %d", F.size("cells"), F.size("header"))
-    line = F.struct("_row_ord", _header_delimiter(strip(F.col("value"))).alias("d"))
-    headless = lines.groupBy("_src_path").agg(
-        F.min("_row_ord").alias("_row_ord"), F.count_if(line["d"].isNotNull()).alias("_headers")
-    )
-    headless = headless.where("_headers = 0").select("_src_path", "_row_ord", F.lit("no header").alias("reason"))
+    headless = headers.where("_delimiter IS NULL").select("_src_path", F.col("_first").alias("_row_ord"), F.lit("no header").alias("reason"))
     return odd.select("_src_path", "_row_ord", counts.alias("reason")).unionByName(headless)
 
 
