@@ -57,3 +57,18 @@ def test_lines_of_a_large_source_stay_where_they_are_read(spark):
     rejects = textsalvage.salvage_rejects(lines)
     assert {(r._src_path, r.reason) for r in rejects.collect()} == {("b", "no header")}
     assert "SortMergeJoin" not in plan_of(rejects)
+
+
+def test_deliveries_have_a_fixed_number_of_files(spark, small, tmp_path):
+    parts = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "24"}
+    was = {k: spark.conf.get(k) for k in parts}
+    for k, v in parts.items():
+        spark.conf.set(k, v)
+    try:
+        reports = queries.adapters.flight_reports(spark, small)
+        queries._deliver(reports, str(tmp_path / "landing"))
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert len(glob.glob(f"{tmp_path}/landing/*.parquet")) <= 2 * queries.DELIVERED_FILES
+    assert spark.read.parquet(str(tmp_path / "landing")).count() == 122
