@@ -72,3 +72,28 @@ def test_deliveries_have_a_fixed_number_of_files(spark, small, tmp_path):
             spark.conf.set(k, v)
     assert len(glob.glob(f"{tmp_path}/landing/*.parquet")) <= 2 * queries.DELIVERED_FILES
     assert spark.read.parquet(str(tmp_path / "landing")).count() == 122
+
+
+PAGES = [
+    '<!DOCTYPE html><meta name=report-tz content="+03:00"><table><tr><th>A<td>x &amp; y</th></tr><tr><td><a HREF=\'u\'>1</a></td><td/></table>',
+    "<table><tr><td>1<!-- n --></td></tr><tr><td><br/>2 <a href=u>3</a><script>'<td>'</script></table>",
+    '<table><tr><td>a<b c="<td>">d</b></tr></table x><table><tr><td>decoy',
+    "<table><tr><td>open &am",
+    "<table><tr><td a = b>1</td ><td>< 2",
+]
+
+
+@pytest.mark.parametrize("page", PAGES)
+def test_simple_tags_give_what_the_parser_gives(page):
+    parsed, cut = html._FirstTable(), html._FirstTable()
+    parsed.feed(page)
+    parsed.close()
+    html._feed(cut, page)
+    for p in (parsed, cut):
+        p._end_row()
+    assert (cut.tz, cut.seen, cut.rows) == (parsed.tz, parsed.seen, parsed.rows)
+
+
+def test_simple_pages_are_not_parsed(monkeypatch):
+    monkeypatch.setattr(HTMLParser, "feed", lambda *_: pytest.fail("parsed"))
+    assert html.first_table(PAGES[0])[0] == "+03:00"
