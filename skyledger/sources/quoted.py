@@ -21,6 +21,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..plans.staging import staged
+
 _INSIDE = r'[^"]*+(?:""[^"]*+)*+'
 _CELL = rf'(?:"{_INSIDE}"(?:[^",][^,]*+)?|[^",][^,]*+|)'
 _OPENED = rf'(?:{_CELL},)*+"{_INSIDE}'
@@ -148,7 +150,8 @@ def read_records(spark: SparkSession, paths: list[str]) -> DataFrame:
             joiner.end()
             yield joiner.taken()
 
-    parts = _lines(spark, paths).mapInArrow(run, "path string, block bigint, line bigint, kind int, record string")
+    # Written, as they are read for the edges and for the rest, and again by every reader of the records.
+    parts = staged(_lines(spark, paths).mapInArrow(run, "path string, block bigint, line bigint, kind int, record string"), "records")
     # A record goes on in later blocks until the next unfinished one begins.
     edges = parts.where(F.col("kind") != WHOLE)
     order = Window.partitionBy("path").orderBy("block", "line")

@@ -97,3 +97,11 @@ def test_simple_tags_give_what_the_parser_gives(page):
 def test_simple_pages_are_not_parsed(monkeypatch):
     monkeypatch.setattr(HTMLParser, "feed", lambda *_: pytest.fail("parsed"))
     assert html.first_table(PAGES[0])[0] == "+03:00"
+
+
+def test_records_are_cut_once(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text('x,y\n1,"a\nb"\n2,c\n')
+    found = quoted.read_records(spark, [str(path)])
+    assert sorted(r.record for r in found.collect()) == ['1,"a\nb"', "2,c", "x,y"]
+    assert "MapInArrow" not in plan_of(found)
