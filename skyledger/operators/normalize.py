@@ -156,7 +156,12 @@ def ingest_counters(df: DataFrame, tz_hint: str | None = None, default_tz: str =
     `raw` and `invalid` count input rows, `duplicates` the superseded ones among the
     valid rows; `valid` rows are those left.
     """
-    rows = _with_key(type_rows(df, tz_hint, default_tz)).withColumn("_ok", is_valid())
+    return typed_counters(type_rows(df, tz_hint, default_tz))
+
+
+def typed_counters(typed: DataFrame) -> DataFrame:
+    """`ingest_counters` behind `type_rows`."""
+    rows = _with_key(typed).withColumn("_ok", is_valid())
     keys = [F.when(F.col("_ok"), F.col(k)).alias(k) for k in _KEY]
     groups = rows.select("_ok", *keys).groupBy("_ok", *_KEY).agg(F.count("*").alias("_n"))
     totals = groups.agg(
@@ -175,9 +180,13 @@ def ingest_counters(df: DataFrame, tz_hint: str | None = None, default_tz: str =
 
 def rejected(df: DataFrame, tz_hint: str | None = None, default_tz: str = "UTC") -> DataFrame:
     """Rows the normalisation removes, with the broken rules."""
+    return typed_rejected(type_rows(df, tz_hint, default_tz))
+
+
+def typed_rejected(typed: DataFrame) -> DataFrame:
+    """`rejected` behind `type_rows`."""
     return (
-        type_rows(df, tz_hint, default_tz)
-        .where(~is_valid())
+        typed.where(~is_valid())
         .withColumn("reasons", F.array_join(invalid_reasons(), ","))
         .drop("_given_duration")
     )

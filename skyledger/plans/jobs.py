@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 from ..operators import aggregates, geo, insights, quality, sinks, versions
 from ..operators.normalize import (
     infer_year,
-    ingest_counters,
     metric_exclusions,
     metric_rows,
     normalize_typed,
-    rejected,
     type_rows,
+    typed_counters,
+    typed_rejected,
 )
 from ..sources.canonical import read_flights
 from ..sources.regions import read_features, region_table
@@ -81,11 +81,12 @@ def ingest(
     """Load, normalise and store a batch; returns (flights, one row of counters).
 
     The loaded rows are written first: their order comes from the scan, and everything
-    after it reads them more than once.
+    after it reads them more than once. So are the typed rows, which are parsed once.
     """
     raw = staged(load_flights(spark, paths, hint, noise), "raw")
-    flights = normalize_typed(staged(type_rows(raw, default_tz=default_tz), "typed"))
-    counters = ingest_counters(raw, default_tz=default_tz)
+    typed = staged(type_rows(raw, default_tz=default_tz), "typed")
+    flights = normalize_typed(typed)
+    counters = typed_counters(typed)
     if dry_run:
         return flights, counters
     flights = staged(flights, "flights")
@@ -105,7 +106,7 @@ def ingest(
     }
     sinks.write_raw_csv(raw, artifacts["raw"])
     sinks.write_normalized(flights, tables["flights"], version, batch_year)
-    sinks.replace_version(rejected(raw, default_tz=default_tz), tables["flights_rejected"], version)
+    sinks.replace_version(typed_rejected(typed), tables["flights_rejected"], version)
     review = quality.loaded_review(raw, list_files(spark, paths))
     sinks.replace_version(review, f"{root}/source_review", version)
     sinks.replace_version(metric_exclusions(flights), f"{root}/metric_exclusions", version)
