@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import decimal_point, header_target, strip
+from ..plans.staging import staged
 from ..schema import RAW_COLUMNS, RAW_NUMERIC, SERVICE_ROW_PREFIXES
 
 
@@ -38,15 +39,18 @@ def drop_service_rows(df: DataFrame, cells: Column, limit: int = 10) -> DataFram
     """Drop the leading service rows of each source, at most `limit` of them.
 
     `cells` is the row as an array of text. Each task passes on `limit` rows per source,
-    so the first rows are found without moving the rest; only rows to drop are joined back.
+    so the first rows are found without moving the rest, and only these are judged. The rows
+    to drop are written before they are joined back: few, they are broadcast by their known
+    size, so the others are not shuffled.
     """
-    heads = df.select("_src_path", "_row_ord", is_service_row(cells).alias("_service"))
+    heads = df.select("_src_path", "_row_ord", cells.alias("_cells"))
     first = heads.withColumn(
         "_rank", F.row_number().over(Window.partitionBy("_src_path").orderBy("_row_ord"))
     ).where(F.col("_rank") <= limit)
     lead = Window.partitionBy("_src_path").orderBy("_rank")
-    leading = first.withColumn("_all_service", F.min(F.col("_service").cast("int")).over(lead))
-    dropped = leading.where("_all_service = 1").select("_src_path", "_row_ord")
+    service = is_service_row(F.col("_cells")).cast("int")
+    leading = first.withColumn("_service", service).withColumn("_all_service", F.min("_service").over(lead))
+    dropped = staged(leading.where("_all_service = 1").select("_src_path", "_row_ord"), "service_rows")
     return df.join(dropped, ["_src_path", "_row_ord"], "left_anti")
 
 
@@ -88,10 +92,12 @@ def _others() -> Column:
 
 
 def sanitize(df: DataFrame, limit: int = 10) -> DataFrame:
-    """Rows of a named scan: trim, drop leading service rows, decimal points, trim."""
+    """Rows of a named scan: trim, drop leading service rows, decimal points.
+
+    Decimal points leave trimmed text trimmed.
+    """
     trimmed = trim_strings(df)
-    kept = drop_service_rows(trimmed, raw_cells(trimmed), limit)
-    return trim_strings(decimal_points(kept))
+    return decimal_points(drop_service_rows(trimmed, raw_cells(trimmed), limit))
 
 
 def sanitize_cells(df: DataFrame, limit: int = 10) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import strip, to_number
 from ..functions.times import zulu_text
+from ..plans.staging import staged
 from ..schema import CANONICAL, KEY, RAW_NUMERIC, REQUIRED
 from .quantiles import iqr_fence
 
@@ -186,12 +187,17 @@ class UniquenessCheck(Check):
 
     def __init__(self, key: Sequence[str] = KEY):
         self.key = tuple(key)
+        self._memo: tuple[DataFrame, DataFrame] | None = None
 
     def _missing(self, df) -> list[str]:
         return [c for c in self.key if c not in df.columns]
 
     def _repeated(self, df) -> DataFrame:
-        return df.groupBy(*self.key).agg(F.count("*").alias("_copies")).where("_copies > 1")
+        # Written once per DataFrame: the outcome and the violations read it, the latter by its known size.
+        if self._memo is None or self._memo[0] is not df:
+            groups = df.groupBy(*self.key).agg(F.count("*").alias("_copies")).where("_copies > 1")
+            self._memo = (df, staged(groups, "repeated_keys"))
+        return self._memo[1]
 
     def violations(self, df):
         if self._missing(df):
@@ -284,9 +290,9 @@ class DurationOutlierCheck(Check):
         self._memo: tuple[DataFrame, Column] | None = None
 
     def _bound(self, df, side: str) -> Column:
-        # One scalar subquery per DataFrame: both bounds, however often they are used.
+        # One row per DataFrame, written: results and violations both use it, in queries of their own.
         if self._memo is None or self._memo[0] is not df:
-            fence = iqr_fence(df, "duration_minutes", self.width)
+            fence = staged(iqr_fence(df, "duration_minutes", self.width), "fence")
             self._memo = (df, fence.select(F.struct("lower", "upper")).scalar())
         return self._memo[1].getField(side)
 

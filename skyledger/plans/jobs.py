@@ -111,7 +111,9 @@ def ingest(
     sinks.replace_version(review, f"{root}/source_review", version)
     sinks.replace_version(metric_exclusions(flights), f"{root}/metric_exclusions", version)
     sums = staged(checksums(spark, paths), "checksums")
-    sinks.write_document(sinks.lineage(counters, sums, artifacts), artifacts["lineage"])
+    row = counters.first()
+    counted = spark.createDataFrame([row], counters.schema)
+    sinks.write_document(sinks.lineage(counted, sums, artifacts), artifacts["lineage"])
     checksum = _batch_checksum(sums)
     sinks.append(
         versions.status_row(
@@ -119,9 +121,8 @@ def ingest(
         ),
         log,
     )
-    row = counters.first()
     _event(spark, root, "dataset.ingested", version, records=row.normalized, rejected=row.invalid)
-    return read_flights(spark, tables["flights"], version), spark.createDataFrame([row], counters.schema)
+    return read_flights(spark, tables["flights"], version), counted
 
 
 @_tidy
