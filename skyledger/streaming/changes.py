@@ -75,8 +75,7 @@ def ingest_changes(
         retract(spark, gone, number, tables)
     arrived = paths("added", "changed")
     if arrived:
-        rows = staged(load_flights(spark, arrived, hint), "arrived")
-        process_batch(rows, number, tables, checks, found.where("change = 'changed'").select("path"))
+        process_batch(load_flights(spark, arrived, hint), number, tables, checks, found.where("change = 'changed'").select("path"))
     if arrived or paths("removed"):
         snapshots.publish(found.where("change <> 'removed'").select("path", "length", "modified", "checksum"), manifest)
     return found

@@ -211,6 +211,8 @@ def recompute(spark: SparkSession, arrived: DataFrame, tables: Tables) -> None:
     stored = spark.read.parquet(tables.flights).where(F.col("year").isin(years)).select(*CANONICAL)
     metrics = metric_rows(stored)
     for table, path in ((aggregates.aggregates_year(metrics), tables.aggregates), (aggregates.aggregates_month(metrics, by_vehicle=False), tables.months)):
+        # A few rows per region and month, read twice.
+        table = staged(table, "aggregates")
         _overwrite(table, path, "year")
         kept = {r.year for r in table.select("year").distinct().toLocalIterator()}
         for year in set(years) - kept:
@@ -237,8 +239,8 @@ def ingest_files(
     def process(batch: DataFrame, batch_id: int) -> None:
         # At most files_per_batch names.
         paths = [r.path for r in batch.collect()]
-        rows = staged(load_flights(batch.sparkSession, paths, hint), "arrived")
-        process_batch(rows, batch_id, tables, checks)
+        # Read once, by the typing, whose rows are written.
+        process_batch(load_flights(batch.sparkSession, paths, hint), batch_id, tables, checks)
 
     return (
         names.writeStream.foreachBatch(process)
