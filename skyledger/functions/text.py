@@ -25,15 +25,36 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def apart(c: Column) -> Column:
+    """The value as it is, by a detour: Spark compiles the columns next to it in parts.
+
+    Otherwise all of a wide row's columns become one method, beyond the size the JVM compiles.
+    """
+    return let(c, lambda v: v)
+
+
 def strip(c: Column) -> Column:
     """Trim white space of every kind, not only blanks."""
     return F.btrim(c, F.lit(WHITESPACE))
 
 
+def _plain(c: Column) -> Column:
+    """Begins and ends with a visible ASCII character, so that nothing is to be trimmed."""
+    return (c >= "!") & (c < "\x7f") & F.substring(c, -1, 1).between("!", "~")
+
+
+def strip_cell(c: Column) -> Column:
+    """`strip` of a column, which is cheap to name several times; most cells have nothing to trim."""
+    return F.when(_plain(c), c).otherwise(strip(c))
+
+
 def blank_to_null(c: Column) -> Column:
-    """Trimmed text; the null tokens become null."""
-    s = strip(c)
-    return F.when(~s.isin(*NULL_TOKENS), s)
+    """Trimmed text of a column; the null tokens become null."""
+
+    def filled(s: Column) -> Column:
+        return F.when(~s.isin(*NULL_TOKENS), s)
+
+    return F.when(_plain(c), filled(c)).otherwise(filled(strip(c)))
 
 
 def decimal_point(c: Column) -> Column:

@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import decimal_point, header_target, strip
+from ..functions.text import apart, decimal_point, header_target, strip, strip_cell
 from ..plans.staging import staged
 from ..schema import RAW_COLUMNS, RAW_NUMERIC, SERVICE_ROW_PREFIXES
 
 
 def trim_strings(df: DataFrame) -> DataFrame:
     """Trim every text column."""
-    return df.select(*[strip(F.col(c)).alias(c) if t == "string" else F.col(c) for c, t in df.dtypes])
+    texts = [c for c, t in df.dtypes if t == "string"]
+    trimmed = {c: strip_cell(F.col(c)) for c in texts} | {c: apart(strip_cell(F.col(c))) for c in texts[:1]}
+    return df.withColumns(trimmed) if texts else df
 
 
 def decimal_points(df: DataFrame, all_strings: bool = False) -> DataFrame:
@@ -32,23 +34,41 @@ def is_service_row(cells: Column) -> Column:
             hit = hit | F.startswith(v, F.lit(prefix))
         return hit
 
-    return F.forall(values, lambda v: v == "") | F.exists(values, marked)
+    # Cells are looked at one by one only where a prefix occurs somewhere in the row.
+    row = F.array_join(cells, " ")
+    some = F.lit(False)
+    for prefix in SERVICE_ROW_PREFIXES:
+        some = some | F.contains(F.lower(row), F.lit(prefix))
+    return (strip(row) == "") | (some & F.exists(values, marked))
 
 
-def drop_service_rows(df: DataFrame, cells: Column, limit: int = 10) -> DataFrame:
+def _ranked(rows: DataFrame, limit: int) -> DataFrame:
+    """The first `limit` rows of each source, with their `_rank`."""
+    order = Window.partitionBy("_src_path").orderBy("_row_ord")
+    return rows.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= limit)
+
+
+def drop_service_rows(df: DataFrame, cells: Column | None, limit: int = 10) -> DataFrame:
     """Drop the leading service rows of each source, at most `limit` of them.
 
     `cells` is the row as an array of text. Each task passes on `limit` rows per source,
     so the first rows are found without moving the rest, and only these are judged. The rows
     to drop are written before they are joined back: few, they are broadcast by their known
     size, so the others are not shuffled.
+
+    Without `cells`, `df` is written and says in `_service` which rows are service rows. Then
+    rows are ranked only up to the last service row that may be dropped, if a source has any.
     """
-    heads = df.select("_src_path", "_row_ord", cells.alias("_cells"))
-    first = heads.withColumn(
-        "_rank", F.row_number().over(Window.partitionBy("_src_path").orderBy("_row_ord"))
-    ).where(F.col("_rank") <= limit)
+    if cells is None:
+        places = df.select("_src_path", "_row_ord", "_service")
+        ends = _ranked(places.where("_service"), limit).groupBy("_src_path").agg(F.max("_row_ord").alias("_end"))
+        near = places.join(staged(ends, "service_ends"), "_src_path")
+        first = _ranked(near.where(F.coalesce(F.col("_row_ord") <= F.col("_end"), F.lit(True))), limit)
+        df, service = df.drop("_service"), F.col("_service").cast("int")
+    else:
+        first = _ranked(df.select("_src_path", "_row_ord", cells.alias("_cells")), limit)
+        service = is_service_row(F.col("_cells")).cast("int")
     lead = Window.partitionBy("_src_path").orderBy("_rank")
-    service = is_service_row(F.col("_cells")).cast("int")
     leading = first.withColumn("_service", service).withColumn("_all_service", F.min("_service").over(lead))
     dropped = staged(leading.where("_all_service = 1").select("_src_path", "_row_ord"), "service_rows")
     return df.join(dropped, ["_src_path", "_row_ord"], "left_anti")
@@ -94,10 +114,12 @@ def _others() -> Column:
 def sanitize(df: DataFrame, limit: int = 10) -> DataFrame:
     """Rows of a named scan: trim, drop leading service rows, decimal points.
 
-    Decimal points leave trimmed text trimmed.
+    Decimal points leave trimmed text trimmed and make no service row. The rows are written
+    with the judgement of each, so the scan is read once.
     """
     trimmed = trim_strings(df)
-    return decimal_points(drop_service_rows(trimmed, raw_cells(trimmed), limit))
+    judged = decimal_points(trimmed.withColumn("_service", is_service_row(raw_cells(trimmed))))
+    return drop_service_rows(staged(judged, "rows"), None, limit)
 
 
 def sanitize_cells(df: DataFrame, limit: int = 10) -> DataFrame:

@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ids import surrogate_id
-from ..functions.text import strip, to_number
+from ..functions.text import strip_cell, to_number
 from ..functions.times import known_zone, parse_utc, second_text, whole_minutes
+from ..plans.staging import staged
 from ..schema import CANONICAL
 
 _KEY = ("_key_id", "_key_start", "_key_region")
@@ -23,7 +24,7 @@ def _raw(df: DataFrame, name: str) -> Column:
 
 
 def _text(df: DataFrame, name: str) -> Column:
-    return strip(_raw(df, name).cast("string"))
+    return strip_cell(_raw(df, name).cast("string"))
 
 
 def type_rows(df: DataFrame, tz_hint: str | None = None, default_tz: str = "UTC") -> DataFrame:
@@ -45,12 +46,13 @@ def type_rows(df: DataFrame, tz_hint: str | None = None, default_tz: str = "UTC"
         to_number(_raw(df, "longitude").cast("string")).alias("longitude"),
     )
     # Filters on the parsed columns cannot move below the inline, so nothing is parsed twice.
+    # They are parsed before it, as Spark does not compile what is inside an inline.
     rows = zoned.select(
         *[_text(df, c).alias(f"_{c}" if c == "flight_id" else c) for c in texts],
         to_number(_raw(df, "duration_minutes").cast("string")).alias("_given_duration"),
         *carried,
-        F.inline(F.array(parsed)),
-    )
+        parsed.alias("_parsed"),
+    ).select("*", F.inline(F.array("_parsed")))
     start, end = F.col("start_time_utc"), F.col("end_time_utc")
     surrogate = F.when(
         F.coalesce(F.col("_flight_id"), F.lit("")) == "",
@@ -114,21 +116,36 @@ def _order(df: DataFrame) -> Column:
     return F.struct(*cols)
 
 
-def flag_superseded(df: DataFrame) -> DataFrame:
+def repeated_keys(df: DataFrame) -> DataFrame:
+    """Keys (flight, start second, region) that occur more than once: `_last` position and `_copies`."""
+    keyed = _with_key(df).select(*_KEY, _order(df).alias("_order"))
+    return keyed.groupBy(*_KEY).agg(F.max("_order").alias("_last"), F.count("*").alias("_copies")).where("_copies > 1")
+
+
+def written_repeated_keys(df: DataFrame) -> DataFrame:
+    """`repeated_keys` of written rows, written, so that few of them are broadcast by their known size.
+
+    Hashes of flight, minute and region are counted first, and only rows whose hash occurs
+    more than once are grouped by their whole key. Rows of one key have one hash.
+    """
+    start = F.col("start_time_utc")
+    minute = F.to_date(start), F.hour(start), F.minute(start)
+    hashed = df.withColumn("_hash", F.xxhash64("flight_id", *minute, F.coalesce(F.col("region_code"), F.lit(""))))
+    hashes = staged(hashed.groupBy("_hash").agg(F.count("*").alias("_n")).where("_n > 1").select("_hash"), "hashes")
+    some = hashed.join(hashes, "_hash", "left_semi").drop("_hash")
+    return staged(repeated_keys(some), "repeated_keys")
+
+
+def flag_superseded(df: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
     """Mark all but the last row per (flight, start second, region).
 
     The last position per key is a pre-aggregated max and only keys that occur more
     than once are joined back, so a key that holds a large share of the rows is
     reduced before the shuffle and its rows stay splittable by AQE; a window would
-    put them all in one task.
+    put them all in one task. `repeated` are the `written_repeated_keys` where they are at hand.
     """
     keyed = _with_key(df).withColumn("_order", _order(df))
-    last = (
-        keyed.groupBy(*_KEY)
-        .agg(F.max("_order").alias("_last"), F.count("*").alias("_copies"))
-        .where("_copies > 1")
-        .select(*_KEY, "_last")
-    )
+    last = (repeated_keys(df) if repeated is None else repeated).select(*_KEY, "_last")
     flagged = keyed.join(last, list(_KEY), "left")
     superseded = F.coalesce(F.col("_order") < F.col("_last"), F.lit(False))
     return flagged.withColumn("superseded", superseded).drop(*_KEY, "_order", "_last")
@@ -139,9 +156,12 @@ def normalize(df: DataFrame, tz_hint: str | None = None, default_tz: str = "UTC"
     return normalize_typed(type_rows(df, tz_hint, default_tz))
 
 
-def normalize_typed(typed: DataFrame) -> DataFrame:
-    """`normalize` behind `type_rows`; reads its input twice, so large inputs are written first."""
-    return canonical(flag_superseded(typed.where(is_valid())))
+def normalize_typed(typed: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
+    """`normalize` behind `type_rows`; reads its input twice, so large inputs are written first.
+
+    `repeated` are the `written_repeated_keys` of the valid rows where they are at hand.
+    """
+    return canonical(flag_superseded(typed.where(is_valid()), repeated))
 
 
 def canonical(df: DataFrame) -> DataFrame:
@@ -159,8 +179,15 @@ def ingest_counters(df: DataFrame, tz_hint: str | None = None, default_tz: str =
     return typed_counters(type_rows(df, tz_hint, default_tz))
 
 
-def typed_counters(typed: DataFrame) -> DataFrame:
-    """`ingest_counters` behind `type_rows`."""
+def typed_counters(typed: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
+    """`ingest_counters` behind `type_rows`.
+
+    `repeated` are the `written_repeated_keys` of the valid rows; with them no row is shuffled.
+    """
+    if repeated is not None:
+        copies = repeated.select(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicates"))
+        rows = typed.select(F.count("*").alias("raw"), F.count_if(~is_valid()).alias("invalid")).crossJoin(copies)
+        return _counted(rows)
     rows = _with_key(typed).withColumn("_ok", is_valid())
     keys = [F.when(F.col("_ok"), F.col(k)).alias(k) for k in _KEY]
     groups = rows.select("_ok", *keys).groupBy("_ok", *_KEY).agg(F.count("*").alias("_n"))
@@ -169,6 +196,10 @@ def typed_counters(typed: DataFrame) -> DataFrame:
         F.coalesce(F.sum(F.when(~F.col("_ok"), F.col("_n"))), F.lit(0)).alias("invalid"),
         F.coalesce(F.sum(F.when(F.col("_ok"), F.col("_n") - 1)), F.lit(0)).alias("duplicates"),
     )
+    return _counted(totals)
+
+
+def _counted(totals: DataFrame) -> DataFrame:
     return totals.select(
         "raw",
         (F.col("raw") - F.col("invalid")).alias("normalized"),

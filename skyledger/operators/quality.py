@@ -194,8 +194,12 @@ class UniquenessCheck(Check):
 
     def _repeated(self, df) -> DataFrame:
         # Written once per DataFrame: the outcome and the violations read it, the latter by its known size.
+        # Hashes are counted first; only rows whose hash occurs more than once are grouped by the key.
         if self._memo is None or self._memo[0] is not df:
-            groups = df.groupBy(*self.key).agg(F.count("*").alias("_copies")).where("_copies > 1")
+            hashed = df.select(*self.key, F.xxhash64(*self.key).alias("_hash"))
+            hashes = hashed.groupBy("_hash").agg(F.count("*").alias("_n")).where("_n > 1").select("_hash")
+            some = hashed.join(staged(hashes, "hashes"), "_hash", "left_semi")
+            groups = some.groupBy(*self.key).agg(F.count("*").alias("_copies")).where("_copies > 1")
             self._memo = (df, staged(groups, "repeated_keys"))
         return self._memo[1]
 

@@ -17,9 +17,9 @@ def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], buckets:
     counts = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(F.count("*").alias("n"))
     cuts = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
     bounds = counts.agg(F.percentile_approx("v", cuts, 4 * buckets).alias("b")).scalar()
-    ranged = counts.withColumn("bounds", bounds).select(
-        "v", "n", F.size(F.filter("bounds", lambda b: b < F.col("v"))).alias("bucket")
-    )
+    # Never null, or Spark would test the bucket of every row below the counting.
+    bucket = F.coalesce(F.size(F.filter("bounds", lambda b: b < F.col("v"))), F.lit(0))
+    ranged = counts.withColumn("bounds", bounds).select("v", "n", bucket.alias("bucket"))
 
     # At most `buckets` rows from here on.
     in_order = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -13,12 +13,14 @@ from pyspark.sql import functions as F
 from ..operators import aggregates, geo, insights, quality, sinks, versions
 from ..operators.normalize import (
     infer_year,
+    is_valid,
     metric_exclusions,
     metric_rows,
     normalize_typed,
     type_rows,
     typed_counters,
     typed_rejected,
+    written_repeated_keys,
 )
 from ..sources.canonical import read_flights
 from ..sources.regions import read_features, region_table
@@ -83,10 +85,11 @@ def ingest(
     The loaded rows are written first: their order comes from the scan, and everything
     after it reads them more than once. So are the typed rows, which are parsed once.
     """
-    raw = staged(load_flights(spark, paths, hint, noise), "raw")
+    raw = load_flights(spark, paths, hint, noise, write=True)
     typed = staged(type_rows(raw, default_tz=default_tz), "typed")
-    flights = normalize_typed(typed)
-    counters = typed_counters(typed)
+    repeated = written_repeated_keys(typed.where(is_valid()))
+    flights = normalize_typed(typed, repeated)
+    counters = typed_counters(typed, repeated)
     if dry_run:
         return flights, counters
     flights = staged(flights, "flights")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import blank_to_null
+from ..functions.text import apart, blank_to_null
 from ..schema import RAW_COLUMNS, header_name, target_of, unique_names
 from .quoted import read_records
 
@@ -97,7 +97,7 @@ def _named(df: DataFrame, columns: list[str], header: list[str], path: Column, b
     cells = [blank_to_null(F.col(f"`{c.replace('`', '``')}`")).alias(n) for c, n in zip(columns, names)]
     return df.select(
         *cells,
-        path.alias("_src_path"),
+        apart(path).alias("_src_path"),
         F.lit(None).cast("string").alias("_src_tz"),
         F.lit(False).alias("_src_degraded"),
         order.alias("_row_ord"),

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.clean import concat_tables, sanitize, sanitize_cells
+from ..plans.staging import staged
 from .delimited import scan_delimited, to_raw_columns
 from .html import scan_html
 from .textsalvage import drop_noise, scan_text_tables
@@ -28,12 +29,14 @@ class SourceFormat:
     """name and aliases (extensions, media types) of a format, and how to scan its files.
 
     The loader returns raw columns with the source columns `_src_path`, `_src_tz`,
-    `_src_degraded`, `_row_ord`.
+    `_src_degraded`, `_row_ord`. `written` tells that its rows come from written tables, so
+    they may be read several times.
     """
 
     name: str
     aliases: tuple[str, ...]
     load: Loader
+    written: bool = False
 
 
 FORMATS: dict[str, SourceFormat] = {}
@@ -119,11 +122,14 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
-def load_flights(spark: SparkSession, paths: str | list[str], hint: str | None = None, noise: str | None = None) -> DataFrame:
+def load_flights(
+    spark: SparkSession, paths: str | list[str], hint: str | None = None, noise: str | None = None, write: bool = False
+) -> DataFrame:
     """Raw rows of files of any known format: one scan per format, united.
 
     A file of unknown format is an error. `noise` is a pattern of page headers and footers;
-    rows with a cell that matches, and repeated header rows, are dropped.
+    rows with a cell that matches, and repeated header rows, are dropped. With `write` the rows
+    of every format are written, so that they may be read several times and keep their order.
     """
     found: dict[str, list[str]] = {}
     # File names, as in Spark's own file index; one at a time.
@@ -133,9 +139,13 @@ def load_flights(spark: SparkSession, paths: str | list[str], hint: str | None =
         raise ValueError(f"unknown source format: {found[None][:5]}")
     if not found:
         raise ValueError(f"no files in {paths}")
-    loads = [FORMATS[name].load for name in sorted(found)]
-    own = [{"noise": noise} if noise and "noise" in inspect.signature(load).parameters else {} for load in loads]
-    return concat_tables(*[load(spark, found[name], **o) for load, name, o in zip(loads, sorted(found), own, strict=True)])
+    tables = []
+    for name in sorted(found):
+        load = FORMATS[name].load
+        own = {"noise": noise} if noise and "noise" in inspect.signature(load).parameters else {}
+        rows = load(spark, found[name], **own)
+        tables.append(staged(rows, "raw") if write and not FORMATS[name].written else rows)
+    return concat_tables(*tables)
 
 
 def _cells(cells: DataFrame, noise: str | None) -> DataFrame:
@@ -159,7 +169,7 @@ def _load_text(spark: SparkSession, files: list[str], noise: str | None = None)
 
 
 # Names and aliases of the built-in formats.
-register(SourceFormat("csv", ("text/csv",), _load_csv))
+register(SourceFormat("csv", ("text/csv",), _load_csv, written=True))
 register(
     SourceFormat("xlsx", ("xlsm", "application/vnd.ms-excel", "application/vnd.openxmlformats"), _load_xlsx)
 )
